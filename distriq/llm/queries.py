@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distriq.llm.history import restated
+from distriq.llm.leakage import leaks
+from distriq.llm.mixing import mix, tokenizer_path
 from distriq.llm.survivor import Learned, Stated, Survivors, survivors
 from distriq.sources.tables import load
 
@@ -82,7 +84,23 @@ def p5_currency(spark: SparkSession, directory: str) -> DataFrame:
     return survivors(marked, _distribution(orders), least=2).drop("records")
 
 
-QUERIES = {"p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency}
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    return leaks(load(spark, directory, "documents"), load(spark, directory, "eval_item")).select("doc_id", "item_id").distinct()
+
+
+def p6_matches(spark: SparkSession, directory: str) -> DataFrame:
+    return leaks(load(spark, directory, "documents"), load(spark, directory, "eval_item"))
+
+
+def p7_mix(spark: SparkSession, directory: str) -> DataFrame:
+    return mix(load(spark, directory, "documents"), load(spark, directory, "mix_target"), tokenizer_path()).documents
+
+
+def p7_shares(spark: SparkSession, directory: str) -> DataFrame:
+    return mix(load(spark, directory, "documents"), load(spark, directory, "mix_target"), tokenizer_path()).shares
+
+
+QUERIES = {"p7_mix": p7_mix, "p7_shares": p7_shares, "p6_found": p6_found, "p6_matches": p6_matches, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency}
 
 _P5_SQL = """
 WITH t AS (SELECT *, upper(regexp_replace(class_id, '^\\s+|\\s+$', '', 'g')) AS c, upper(regexp_replace(distribution_category, '^\\s+|\\s+$', '', 'g')) AS k,
