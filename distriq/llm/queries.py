@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from distriq.llm.history import restated
 from distriq.llm.leakage import leaks
 from distriq.llm.mixing import mix, tokenizer_path
+from distriq.llm.pii import find_mentions, redact
 from distriq.llm.survivor import Learned, Stated, Survivors, survivors
 from distriq.sources.tables import load
 
@@ -100,7 +101,15 @@ def p7_shares(spark: SparkSession, directory: str) -> DataFrame:
     return mix(load(spark, directory, "documents"), load(spark, directory, "mix_target"), tokenizer_path()).shares
 
 
-QUERIES = {"p7_mix": p7_mix, "p7_shares": p7_shares, "p6_found": p6_found, "p6_matches": p6_matches, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency}
+def p8_found(spark: SparkSession, directory: str) -> DataFrame:
+    return find_mentions(load(spark, directory, "documents")).select("doc_id", "kind", "start_pos").distinct()
+
+
+def p8_redacted(spark: SparkSession, directory: str) -> DataFrame:
+    return redact(load(spark, directory, "documents").select("doc_id", "text")).select("doc_id", "redacted")
+
+
+QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p7_mix": p7_mix, "p7_shares": p7_shares, "p6_found": p6_found, "p6_matches": p6_matches, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency}
 
 _P5_SQL = """
 WITH t AS (SELECT *, upper(regexp_replace(class_id, '^\\s+|\\s+$', '', 'g')) AS c, upper(regexp_replace(distribution_category, '^\\s+|\\s+$', '', 'g')) AS k,
