@@ -49,7 +49,8 @@ def family_names(texts: list[str], least: int = 1) -> set[str]:
     """Words that follow at least ``least`` different given names or forms of address."""
     seen: dict[str, set[str]] = defaultdict(set)
     for text in texts:
-        for m in re.finditer(r"\b([A-ZÀ-Ý][\w-]*)\.?\s(?:[A-ZÀ-Ý]\. ?)?([A-ZÀ-Ý][\w'’]+(?:-[A-ZÀ-Ý][\w'’]+)*)", text):
+        # a lookahead, as one pair's second word may be the next one's first
+        for m in re.finditer(r"\b(?=([A-ZÀ-Ý][\w-]*)\.?\s(?:[A-ZÀ-Ý]\. ?)?([A-ZÀ-Ý][\w'’]+(?:-[A-ZÀ-Ý][\w'’]+)*))", text):
             given, family = folded(m.group(1)), folded(m.group(2))
             if (given in GIVEN or given in TITLES) and family not in OTHER:
                 for part in {family, *family.split("-")}:
@@ -102,7 +103,7 @@ def renamed(text: str, gold: list[Candidate], rng: random.Random, share: float =
             def other(m: re.Match[str]) -> str:
                 word = m.group()
                 if word.endswith("."):
-                    return rng.choice("ABCDEFGHJKLMNPRSTVW") + "."
+                    return rng.choice("ABCDEFGHJKLNPRSTVW") + "."
                 new = random_given(rng) if folded(word) in GIVEN else "-".join(random_family(rng) for _ in word.split("-"))
                 return new.upper() if word.isupper() else new
 
