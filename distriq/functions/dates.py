@@ -35,7 +35,7 @@ def cadence_of(median_gap: Column) -> Column:
 def months_between_days(start: Column, end: Column) -> Column:
     """``array<date>``: the first day of each month from that of ``start`` to that of ``end``; [] if end is before start."""
     first, last = F.trunc(start, "month"), F.trunc(end, "month")
-    return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).otherwise(F.array().cast("array<date>"))
+    return F.when(start <= end, F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).otherwise(F.array().cast("array<date>"))
 
 
 def month_windows(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -166,7 +166,7 @@ def own_tables(edges: list[tuple[str, str, bool]]) -> frozenset[str]:
 SHREDDED = "root_id string, path string, tab string, row_id string, parent_row string, pos int, owner string, cols map<string,string>"
 
 
-def shred_json(df: DataFrame, root_id: str, column: str, key: str | None = None, opened: tuple[str, ...] = (), maps: tuple[str, ...] = (), tables: frozenset[str] | None = None) -> DataFrame:
+def shred_json(df: DataFrame, root_id: str, column: str, key: str | None = None, opened: tuple[str, ...] = (), maps: tuple[str, ...] = (), own: tuple[str, ...] = (), inline: tuple[str, ...] = (), tables: frozenset[str] | None = None) -> DataFrame:
     """All rows of all tables of the JSON texts in ``column``, in one frame: filter on ``tab`` to have one table.
 
     * root_id: of the record the row is from; path: the elements above it; tab: its table.
@@ -177,13 +177,15 @@ def shred_json(df: DataFrame, root_id: str, column: str, key: str | None = None,
     * cols: the element's own fields and those inlined into it, named by their path; other values than strings as JSON.
 
     Entries that are NULL or not objects keep their place but give no row. Texts that are NULL, empty or not JSON give
-    no rows. ``opened``, ``maps``: see :class:`Shredder`. ``tables``: the elements with tables of their own if they are
-    known; else the graph is analysed first.
+    no rows. ``opened``, ``maps``: see :class:`Shredder`. ``own``: elements that get a table even if these
+    records hold one of them at most; ``inline``: elements that don't even if they are shared (of several in a
+    list, the first counts). ``tables``: all elements with tables, if they are known; else the graph is
+    analysed first.
     """
     shredder = Shredder(frozenset(opened), frozenset(maps))
     if tables is None:
         # as many rows as the records have kinds of elements in elements
-        tables = own_tables([tuple(e) for e in element_graph(df, column, shredder).collect()])
+        tables = own_tables([tuple(e) for e in element_graph(df, column, shredder).collect()]) - set(inline) | set(own)
 
     def shred(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["root_id", "path", "tab", "row_id", "parent_row", "pos", "owner", "cols"]
@@ -261,7 +263,7 @@ def owned_rows(shredded: DataFrame, table: str, code: str, detail: str) -> DataF
     def field(name: str) -> Column:
         return F.try_element_at("cols", F.lit(name))
 
-    again = rf"[/.]{re.escape(table)}/.*[/.]{re.escape(table)}$"
+    again = rf"[/.]{re.escape(table)}/(?:.*[/.])?{re.escape(table)}$"
     return shredded.filter((F.col("tab") == table) & F.col("owner").isNotNull() & ~F.col("path").rlike(again)).select(
         "root_id",
         F.col("owner").alias("parent_id"),

@@ -37,7 +37,7 @@ def p2_counts(spark: SparkSession, directory: str) -> DataFrame:
     return orphan_counts(_orphans(spark, directory))
 
 
-ATTEMPTS = {"key": "fund_id", "opened": ("source_attempts",), "maps": ("funds",)}
+ATTEMPTS = {"key": "fund_id", "opened": ("source_attempts",), "maps": ("funds",), "own": ("funds", "source_attempts"), "inline": ("retrieval_status",)}
 
 
 def _components(spark: SparkSession, directory: str) -> DataFrame:
