@@ -29,7 +29,7 @@ HEAD = 8
 
 
 @dataclass
-class TestSuffixes:
+class Suffixes:
     """What is looked up: per test text and word, the first ``least`` words from there on, or the whole text if it has fewer."""
 
     item: np.ndarray
@@ -39,7 +39,7 @@ class TestSuffixes:
     letters: dict[int, list[bytes]]
 
     @classmethod
-    def of(cls, items: list[tuple[int, str]], least: int) -> TestSuffixes:
+    def of(cls, items: list[tuple[int, str]], least: int) -> Suffixes:
         rows, letters = [], {}
         for item, text in items:
             found = words(text or "")
@@ -117,7 +117,7 @@ def _longest(text: bytes, at: int, letters: list[bytes], word: int) -> int:
     return n
 
 
-def shard_matches(ids: list[int], texts: list[str], tests: TestSuffixes) -> Iterator[tuple[int, int, int, int, int]]:
+def shard_matches(ids: list[int], texts: list[str], tests: Suffixes) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, item, item word, words, letters before it in the document) of each match in one shard, the longest per document and item."""
     data, starts, ends = stream([cleaned(t) for t in texts])
     at = np.flatnonzero(starts)
@@ -193,7 +193,7 @@ def _pass(corpus: DataFrame, part: list[tuple[int, str]], least: int) -> DataFra
     shared = corpus.sparkSession.sparkContext.broadcast(part)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tests = TestSuffixes.of(shared.value, least)
+        tests = Suffixes.of(shared.value, least)
         ids: list[int] = []
         texts: list[str] = []
         size = 0
