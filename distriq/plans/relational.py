@@ -398,3 +398,118 @@ def revenue_by_nation(spark, d):
     n = load(spark, d, "nation").join(load(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
     li = load(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice")
     return li.join(o, "o_orderkey").join(c, "o_custkey").join(n, "c_nationkey").groupBy("r_name", "n_name").agg(F.count_distinct("o_orderkey").alias("orders"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
+
+
+# checks, lists, filters
+
+
+_SCORE = """SELECT rule, count(*) AS checked, count(*) FILTER (failed) AS failures, round(100.0 * count(*) FILTER (NOT failed) / count(*), 2)::DOUBLE AS pass_pct FROM (
+SELECT 'dates_in_order' AS rule, coalesce(declaration_date > ex_date, FALSE) OR coalesce(payable_date < record_date, FALSE) AS failed FROM distribution_event
+UNION ALL SELECT 'amount_positive', gross_amount <= 0 FROM distribution_event
+UNION ALL SELECT 'superseded_has_successor', superseded_by IS NULL FROM distribution_event WHERE is_superseded
+UNION ALL SELECT 'currency_of_country', upper(trim(currency)) <> CASE WHEN trim(fund_id) ILIKE 'CA%' THEN 'CAD' ELSE 'USD' END FROM distribution_event WHERE currency IS NOT NULL) GROUP BY rule"""
+
+
+@query(_SCORE)
+def check_scorecard(spark, d):
+    """Row checks in one scan: each row becomes one line per check that applies to it."""
+    c = F.col
+    true = lambda x: F.coalesce(x, F.lit(False))
+    expected = F.when(F.upper(F.trim("fund_id")).startswith("CA"), "CAD").otherwise("USD")
+    checks = {
+        "dates_in_order": (F.lit(True), true(c("declaration_date") > c("ex_date")) | true(c("payable_date") < c("record_date"))),
+        "amount_positive": (F.lit(True), c("gross_amount") <= 0),
+        "superseded_has_successor": (true(c("is_superseded")), c("superseded_by").isNull()),
+        "currency_of_country": (c("currency").isNotNull(), F.upper(F.trim("currency")) != expected),
+    }
+    lines = F.array_compact(F.array(*(F.when(applies, F.struct(F.lit(name).alias("rule"), failed.alias("failed"))) for name, (applies, failed) in checks.items())))
+    long = load(spark, d, "distribution_event").select(F.explode(lines).alias("x")).select("x.rule", "x.failed")
+    tally = long.groupBy("rule").agg(F.count(F.lit(1)).alias("checked"), F.count_if("failed").alias("failures"))
+    return tally.withColumn("pass_pct", F.round(F.try_divide(100.0 * (c("checked") - c("failures")), c("checked")), 2))
+
+
+@query("SELECT fund_id, event_id, ex_date, line FROM (SELECT *, row_number() OVER (PARTITION BY fund_id ORDER BY ex_date DESC, event_id) AS line FROM (SELECT DISTINCT fund_id, event_id, ex_date FROM distribution_event)) WHERE line <= 3")
+def last_three_events(spark, d):
+    e = load(spark, d, "distribution_event").select("fund_id", "event_id", "ex_date").distinct()
+    w = Window.partitionBy("fund_id").orderBy(F.desc("ex_date"), "event_id")
+    return e.withColumn("line", F.row_number().over(w)).filter("line <= 3")
+
+
+@query("""SELECT extract_id, source_url, ex_date FROM (SELECT *, row_number() OVER (PARTITION BY source_url, ex_date, distribution_type, round(gross_amount, 6) ORDER BY extract_id) AS rn FROM layer_b_extracted_events) WHERE rn = 1""")
+def ordered_distinct(spark, d):
+    x = load(spark, d, "layer_b_extracted_events").withColumn("__amount", F.round("gross_amount", 6))
+    return latest(x, ["source_url", "ex_date", "distribution_type", "__amount"], [F.col("extract_id")]).select("extract_id", "source_url", "ex_date")
+
+
+@query("""SELECT extract_id, len(list_filter(components, lambda x: x.amount > 0.1)) AS above, list_aggregate(list_transform(list_filter(components, lambda x: x.amount IS NOT NULL), lambda x: x.amount), 'sum') AS total,
+ array_to_string(list_sort(list_distinct(list_filter(list_transform(components, lambda x: x.type), lambda x: x IS NOT NULL))), ',') AS types, list_has_any(list_transform(components, lambda x: coalesce(x.type, '')), ['RETURN_OF_CAPITAL', 'FOREIGN_INCOME']) AS overlaps
+ FROM layer_b_extracted_events WHERE components IS NOT NULL AND len(components) > 0 AND len(list_filter(components, lambda x: x.amount IS NOT NULL)) > 0""")
+def component_lists(spark, d):
+    x = load(spark, d, "layer_b_extracted_events").select("extract_id", "components").filter(F.exists("components", lambda c: c["amount"].isNotNull()))
+    types = F.transform("components", lambda c: c["type"])
+    amounts = F.transform(F.filter("components", lambda c: c["amount"].isNotNull()), lambda c: c["amount"])
+    return x.select(
+        "extract_id",
+        F.size(F.filter("components", lambda c: c["amount"] > 0.1)).cast("long").alias("above"),
+        F.aggregate(amounts, F.lit(0.0), lambda a, b: a + b).alias("total"),
+        F.array_join(F.array_sort(F.array_distinct(F.array_compact(types))), ",").alias("types"),
+        F.coalesce(F.arrays_overlap(F.array_compact(types), F.array(F.lit("RETURN_OF_CAPITAL"), F.lit("FOREIGN_INCOME"))), F.lit(False)).alias("overlaps"),
+    )
+
+
+@query("SELECT event_id, try_cast(props AS JSON) IS NOT NULL AS valid, (props->>'$.k')::BIGINT AS k FROM events")
+def json_fields(spark, d):
+    parsed = F.from_json("props", "k long")
+    return load(spark, d, "events").select("event_id", F.try_parse_json("props").isNotNull().alias("valid"), parsed["k"].alias("k"))
+
+
+@query("SELECT DISTINCT x.event_id FROM distribution_event x JOIN distribution_event e ON x.class_id = e.class_id AND x.ex_date = e.ex_date AND abs(x.gross_amount::DOUBLE - e.gross_amount::DOUBLE) < 1e-6 WHERE upper(left(trim(x.estimated_or_final), 1)) = 'E' AND upper(left(trim(e.estimated_or_final), 1)) = 'F'")
+def estimates_confirmed(spark, d):
+    """Equality on class and day brings together, a tolerance on the amount decides."""
+    rows = load(spark, d, "distribution_event").select("event_id", "class_id", "ex_date", F.col("gross_amount").cast("double").alias("amount"), F.upper(F.substring(F.trim("estimated_or_final"), 1, 1)).alias("mark"))
+    x = rows.filter("mark = 'E'").select("event_id", "class_id", "ex_date", F.col("amount").alias("said"))
+    e = rows.filter("mark = 'F'").select("class_id", "ex_date", "amount").distinct()
+    on = (x.class_id == e.class_id) & (x.ex_date == e.ex_date) & (F.abs(x.said - e.amount) < 1e-6)
+    return x.join(e, on, "left_semi").select("event_id").distinct()
+
+
+@query("SELECT DISTINCT event_id, (declaration_date BETWEEN DATE '2026-08-01' AND DATE '2026-09-30') IS TRUE OR ex_date BETWEEN DATE '2026-08-01' AND DATE '2026-09-30' AS in_window, abs(date_diff('day', DATE '2026-08-01', ex_date)) <= 60 AS near FROM distribution_event")
+def window_filters(spark, d):
+    lo, hi = (F.lit(x).cast("date") for x in ("2026-08-01", "2026-09-30"))
+    c = F.col
+    inside = F.coalesce(c("declaration_date").between(lo, hi), F.lit(False)) | c("ex_date").between(lo, hi)
+    return load(spark, d, "distribution_event").select("event_id", inside.alias("in_window"), (F.abs(F.datediff("ex_date", lo)) <= 60).alias("near")).distinct()
+
+
+@query("""SELECT c.event_id, min(c.component_id) AS first_component, arg_min(c.component_type, c.component_id) AS first_type, count(*) AS n FROM (SELECT DISTINCT * FROM distribution_component WHERE event_id IS NOT NULL) c SEMI JOIN (SELECT DISTINCT event_id FROM distribution_event WHERE ex_date >= DATE '2026-09-01') e ON e.event_id = c.event_id GROUP BY 1""")
+def provenance_of_latest(spark, d):
+    wanted = load(spark, d, "distribution_event").filter(F.col("ex_date") >= F.lit("2026-09-01").cast("date")).select("event_id").distinct()
+    rows = load(spark, d, "distribution_component").distinct().join(wanted, "event_id", "left_semi")
+    head = F.min(F.struct("component_id", "component_type")).alias("h")
+    return rows.groupBy("event_id").agg(head, F.count(F.lit(1)).alias("n")).select("event_id", F.col("h.component_id").alias("first_component"), F.col("h.component_type").alias("first_type"), "n")
+
+
+@query("SELECT year, m AS month, make_date(year, m, 1) AS window_start, last_day(make_date(year, m, 1)) AS window_end FROM (SELECT DISTINCT year(ex_date) AS year FROM distribution_event), (SELECT unnest([3, 6, 9, 11, 12]) AS m)")
+def cycle_windows(spark, d):
+    years = load(spark, d, "distribution_event").select(F.year("ex_date").alias("year")).distinct()
+    months = years.withColumn("month", F.explode(F.array(*(F.lit(m) for m in (3, 6, 9, 11, 12)))))
+    first = F.make_date("year", "month", F.lit(1))
+    return months.select("year", "month", first.alias("window_start"), F.last_day(first).alias("window_end"))
+
+
+@query("SELECT day, kind, n, sum(n) OVER (PARTITION BY kind ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)::BIGINT AS week FROM (SELECT CAST(ts AS DATE) AS day, event_type AS kind, count(*) AS n FROM events GROUP BY ALL)")
+def moving_week(spark, d):
+    daily = load(spark, d, "events").groupBy(F.to_date("ts").alias("day"), F.col("event_type").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return daily.withColumn("week", F.sum("n").over(Window.partitionBy("kind").orderBy("day").rowsBetween(-6, 0)))
+
+
+@query("SELECT class_id, distribution_category FROM distribution_event WHERE extraction_route = 'API' INTERSECT SELECT class_id, distribution_category FROM distribution_event WHERE extraction_route = 'PDF'")
+def routes_in_common(spark, d):
+    e = load(spark, d, "distribution_event")
+    a, b = (e.filter(F.col("extraction_route") == r).select("class_id", "distribution_category") for r in ("API", "PDF"))
+    return a.intersect(b)
+
+
+@query("SELECT class_id FROM distribution_event EXCEPT SELECT class_id FROM share_class")
+def classes_never_registered(spark, d):
+    return load(spark, d, "distribution_event").select("class_id").subtract(load(spark, d, "share_class").select("class_id"))
