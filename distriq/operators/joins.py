@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,21 +28,34 @@ def within_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], p
     return joined.select(*(F.col(f"p.{c}") for c in points.columns), *rest)
 
 
-def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, values: list[str], tie: str) -> DataFrame:
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, values: list[str], tie: str, bucket_days: int = 32) -> DataFrame:
     """``left`` with ``values`` of the latest ``right`` row of its keys not after it; NULLs if there is none.
 
-    Both sides go through one window in time order, so no pair is made. Of right rows with equal time the one with the
-    larger ``tie`` counts. Right rows whose keys or time are NULL match nothing; left rows are all kept.
+    Both sides go through one window in time order, so no pair is made. The windows are cut into buckets of days, and
+    each bucket begins with what the last one before it knew, so a key with a third of all rows is spread over the
+    calendar. Times may be numbers, too; a bucket is as many units long then. Of right rows with equal time the one with the larger ``tie`` counts. Right rows whose keys or time are
+    NULL match nothing; left rows are all kept, those without a time with NULLs.
     """
-    from pyspark.sql import Window
-
-    sides = left.withColumns({"__at": F.col(left_at), "__side": F.lit(1), "__tie": F.lit(None).cast(right.schema[tie].dataType), "__v": F.lit(None)})
-    packed = F.struct(*(F.col(v) for v in values))
-    other = right.filter(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("__at"), F.lit(0).alias("__side"), F.col(tie).alias("__tie"), packed.alias("__v"))
-    both = sides.drop("__v").unionByName(other, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(F.col("__at"), "__side", "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = both.withColumn("__last", F.last("__v", ignorenulls=True).over(w)).filter(F.col("__side") == 1)
-    return found.select(*left.columns, *(F.col(f"__last.{v}").alias(v) for v in values))
+    days = F.unix_date(F.col("__at").cast("date")) if left.schema[left_at].dataType.typeName().startswith(("date", "timestamp")) else F.col("__at")
+    bucket = F.floor(days / F.lit(bucket_days))
+    known = F.struct(F.col("__at").alias("at"), F.col("__tie").alias("tie"), *(F.col(v).alias(f"v{i}") for i, v in enumerate(values)))
+    one = left.withColumns({"__at": F.col(left_at), "__side": F.lit(1)})
+    other = right.filter(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("__at"), F.lit(0).alias("__side"), F.col(tie).alias("__tie"), *[v for v in values if v not in keys])
+    other = other.select(*keys, "__at", "__side", known.alias("__v"))
+    both = one.unionByName(other, allowMissingColumns=True).withColumn("__b", bucket)
+    ends = both.groupBy(*keys, "__b").agg(F.max("__v").alias("__end"))
+    before = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__b").alias("__kb"), F.last("__end", ignorenulls=True).over(before).alias("__carry"))
+    on = F.col("__b").eqNullSafe(F.col("__kb"))
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    within = Window.partitionBy(*keys, "__b").orderBy("__at", "__side", F.col("__v.tie")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("__last", F.last("__v", ignorenulls=True).over(within)).filter("__side = 1").join(carried, on, "left")
+    last = F.coalesce("__last", "__carry")
+    usable = F.col("__at").isNotNull()
+    for k in keys:
+        usable = usable & F.col(k).isNotNull()
+    return found.select(*left.columns, *(F.when(usable, last[f"v{i}"]).alias(v) for i, v in enumerate(values)))
 
 
 def lookup(df: DataFrame, dimension: DataFrame, keys: list[str], values: dict[str, Column | None]) -> DataFrame:

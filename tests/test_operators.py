@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from distriq.operators.dedup import by_content, not_yet_stored, snapshot_diff
 from distriq.operators.joins import as_of, within_intervals
 from distriq.operators.merge import merge_versions, overwrite_by_key
-from distriq.operators.ordered import first_of, latest, missing_months, previous_value, trailing_run
+from distriq.operators.ordered import first_of, latest, missing_months, previous_value, recent_within, trailing_run
 
 
 def test_within_intervals_against_all_pairs(spark):
@@ -27,6 +27,22 @@ def test_as_of(spark):
     assert sorted(tuple(r) for r in as_of(left, right, ["k"], "t", "u", ["v"], "tie").select("id", "v").collect()) == [(1, "z"), (2, None), (3, None), (4, None)]
 
 
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_as_of_against_brute_force(spark, width):
+    rng = random.Random(6)
+    left = [(i, rng.choice("ab"), rng.randint(0, 60)) for i in range(80)]
+    right = [(rng.choice("ab"), rng.randint(0, 60), f"v{i}", i) for i in range(50)]
+    got = {r["id"]: r["v"] for r in as_of(spark.createDataFrame(left, "id int, k string, t int"), spark.createDataFrame(right, "k string, u int, v string, tie int"), ["k"], "t", "u", ["v"], "tie", width).collect()}
+    assert got == {i: max(((u, n, v) for m, u, v, n in right if m == k and u <= t), default=(0, 0, None))[2] for i, k, t in left}
+
+
+def test_recent_against_brute_force(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice("ab"), rng.randint(-50, 300)) for i in range(100)]
+    got = {r["id"]: r["recent"] for r in recent_within(spark.createDataFrame(rows, "id int, k string, s long"), ["k"], "s", 20).collect()}
+    assert got == {i: sum(m == k and s - 20 <= t <= s for _, m, t in rows) for i, k, s in rows}
+
+
 def test_runs_gaps_and_previous(spark):
     runs = spark.createDataFrame([("a", 1, True), ("a", 2, False), ("a", 3, True), ("a", 4, True), ("b", 1, True), ("c", 1, False), ("d", 1, None)], "k string, t int, f boolean")
     assert sorted(tuple(r) for r in trailing_run(runs, ["k"], "t", F.col("f")).collect()) == [("a", 2), ("b", 1), ("c", 0), ("d", 0)]
