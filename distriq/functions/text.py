@@ -7,7 +7,7 @@ evaluated anew for each element.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,19 +29,26 @@ NOTATIONS = {
 ANY_DATE = "(?i)(" + "|".join(NOTATIONS.values()) + ")"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def date_of(written: Column) -> Column:
     """The date that one written date stands for; NULL for a day its month doesn't have."""
-    low = F.lower(written)
-    numbers = F.regexp_extract_all(low, F.lit(r"(\d+)"), 1)
-    month = F.array_position(F.array(*(F.lit(m) for m in MONTHS)), F.substring(F.regexp_extract(low, r"([a-z]{3,})(?<!\dst|\dnd|\drd|\dth)", 1), 1, 3))
-    first, second, third = (F.get(numbers, F.lit(i)) for i in range(3))
-    text = (
-        F.when(low.rlike(r"^\d{4}"), F.concat_ws("-", first, second, third))
-        .when(low.rlike(r"^[a-z]"), F.concat_ws("-", second, month.cast("string"), first))
-        .when(low.rlike(r"[a-z]{3}"), F.concat_ws("-", second, month.cast("string"), first))
-        .otherwise(F.concat_ws("-", third, first, second))
-    )
-    return F.to_date(F.try_to_timestamp(text, F.lit("yyyy-M-d")))
+    names = F.array(*(F.lit(m) for m in MONTHS))
+
+    def text(numbers: Column, low: Column) -> Column:
+        first, second, third = (F.get(numbers, F.lit(i)) for i in range(3))
+        # of the letters only a month's name has three in a row; an ordinal's two stand behind digits
+        word = F.regexp_extract(low, r"([a-z]{3})", 1)
+        return (
+            F.when(third.isNotNull() & (F.length(first) == 4), F.concat_ws("-", first, second, third))
+            .when(third.isNotNull(), F.concat_ws("-", third, first, second))
+            .otherwise(F.concat_ws("-", second, F.array_position(names, word).cast("string"), first))
+        )
+
+    return bound(F.lower(written), lambda low: bound(F.regexp_extract_all(low, F.lit(r"(\d+)"), 1), lambda n: F.to_date(F.try_to_timestamp(text(n, low), F.lit("yyyy-M-d")))))
 
 
 def find_dates(text: Column) -> Column:

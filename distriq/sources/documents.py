@@ -86,7 +86,9 @@ def rows_to_payouts(rows: DataFrame, keys: list[str], symbols: tuple[str, ...] =
         return F.get(find_dates(first(lambda p: p["kind"] == kind)), F.lit(0))
 
     dates = {f"{k}_date": dated(k) for k in ("ex", "record", "payable", "declaration")}
-    return pairs.select(*keys, *(d.alias(n) for n, d in dates.items()), number.alias("amount")).filter(F.col("ex_date").isNotNull() & F.col("amount").isNotNull())
+    # a generator, as a filter would be pushed below and read each date a second time
+    found = F.array(F.struct(*(d.alias(n) for n, d in dates.items()), number.alias("amount")))
+    return pairs.select(*keys, F.inline(F.filter(found, lambda r: r["ex_date"].isNotNull() & r["amount"].isNotNull())))
 
 
 def index_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
