@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distriq.functions.text import first_date, find_dates, json_after, labelled_dates, sentences, unescape
+from distriq.operators.fallback import first_yielding
 from distriq.operators.nested import shred_json
 from distriq.plans.relational import query as _register
 from distriq.plans import relational
@@ -128,3 +129,15 @@ def first_declaring_sentence(spark, d):
     s = load(spark, d, "documents").select("doc_id", "text", F.posexplode(sentences(F.col("text"))).alias("no", "sentence")).filter(F.contains("sentence", F.lit("declared")))
     first = s.groupBy("doc_id").agg(F.min(F.struct("no", "text", "sentence")).alias("h"))
     return first.select("doc_id", F.locate("declared", F.col("h.text")).cast("long").alias("at"))
+
+
+@query("""SELECT doc_id, CASE WHEN regexp_matches(text, '(^|\\n)[^|\\n]*\\d{4}[^|\\n]*\\|[^|\\n]*\\d{4}[^|\\n]*\\|[^|\\n]*\\d{4}[^|\\n]*\\| ?\\d*\\.\\d+') AND instr(lower(text), 'ex-date | record date | payable date | amount') > 0 THEN 'SCHEDULE' WHEN instr(text, 'declared') > 0 THEN 'SENTENCE' ELSE 'TEXT' END AS route FROM documents WHERE length(text) > 0""")
+def document_routes(spark, d):
+    """Each document by the first way it can be read: as a schedule, by a declaring sentence, as plain text."""
+    docs = load(spark, d, "documents").select("doc_id", "text").filter(F.length("text") > 0)
+    readers = {
+        "SCHEDULE": lambda df: text_rows(df.filter(F.contains(F.lower("text"), F.lit("ex-date | record date | payable date | amount"))), "doc_id", "text").filter(F.size("headers") == 4).select("doc_id").distinct(),
+        "SENTENCE": lambda df: df.filter(F.contains("text", F.lit("declared"))).select("doc_id"),
+        "TEXT": lambda df: df.select("doc_id"),
+    }
+    return first_yielding(docs, ["doc_id"], readers)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from distriq.operators.dedup import by_content, not_yet_stored, snapshot_diff
+from distriq.operators.fallback import first_yielding, with_fallback
 from distriq.operators.joins import as_of, within_intervals
 from distriq.operators.merge import merge_versions, overwrite_by_key
 from distriq.operators.ordered import first_of, latest, missing_months, previous_value, recent_within, trailing_run
@@ -114,3 +115,12 @@ def test_overwrite(spark):
     old, new = spark.createDataFrame([(1, "a", date(2020, 1, 1), 5), (2, "b", None, 1)], kinds), spark.createDataFrame([(1, None, None, 3), (3, "c", None, None)], kinds)
     got = sorted(tuple(r) for r in overwrite_by_key(old, new, ["k"], ("since",), ("seen",)).collect())
     assert got == [(1, None, date(2020, 1, 1), 5), (2, "b", None, 1), (3, "c", None, None)]
+
+
+def test_first_yielding_and_fallback(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "a")], "k int, t string")
+    readers = {"one": lambda d: d.filter("t = 'a'"), "two": lambda d: d.filter("t IN ('a', 'b')").union(d.filter("t = 'b'"))}
+    assert sorted(tuple(r) for r in first_yielding(df, ["k"], readers).select("k", "route").collect()) == [(1, "one"), (2, "two"), (2, "two")]
+    status = spark.createDataFrame([(1, "YES"), (2, "UNKNOWN"), (3, "UNKNOWN"), (4, None)], "k int, s string")
+    out = with_fallback(status, "s = 'UNKNOWN'", ["k"], lambda keys: keys.filter("k = 2").withColumn("s", F.lit("NO")))
+    assert sorted(map(str, out.collect())) == sorted(["Row(k=1, s='YES')", "Row(k=2, s='NO')", "Row(k=3, s='UNKNOWN')", "Row(k=4, s=None)"])
