@@ -47,7 +47,7 @@ OTHER = frozenset(
 # Words that begin sentences or head texts and are part of no name.
 BREAKING = frozenset(
     """the a an of this that these those and or if when while after before under over for from to in on at by with as is it its was were be not no
-    le la les un une des du de et ou si à au aux par pour sur dans comme lorsque selon vu après avant chez date
+    le la les un une des du de et ou si à au aux par pour sur dans sous hors tandis que pendant comme lorsque selon vu après avant chez date
     management expects ticker ex-date because rule section sources source figures units past read rounding see control analysts contact reinvestment
     us ca usd cad nav cusip cik sin ssn nas id url html pdf form etf fund trust
     dear reviewer moderator operator beneficiary requester phone mail fax text call cheques deliveries return reply questions please signed signé copie écrire retourner composer joint per
@@ -119,6 +119,8 @@ def around(text: str, start: int, end: int) -> tuple[str, str, str, str, str]:
     found = _LAST_WORDS.search(text[max(0, start - 48) : start])
     two, one = ("", "") if not found else (found.group(1) or "", found.group(2) or found.group(3))
     after = _FIRST_WORD.match(text[end : end + 32])
+    if one and one[-1] in ".!?" and len(one) > 3 and folded(one[:-1]) not in TITLES:
+        two, one = "", "."  # whatever ended the sentence before
     return _tidy(two), _tidy(one) if one else "^", _tidy(after.group(1)) if after else "$", text[start - 1 : start], text[end : end + 1]
 
 
