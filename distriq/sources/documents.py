@@ -91,13 +91,16 @@ def rows_to_payouts(rows: DataFrame, keys: list[str], symbols: tuple[str, ...] =
     return pairs.select(*keys, F.inline(F.filter(found, lambda r: r["ex_date"].isNotNull() & r["amount"].isNotNull())))
 
 
+# The columns of a filing index, two blanks or more apart: form, company, filer, date, path.
+INDEX_LINE = r"^(\S+(?: \S+)*?)\s{2,}(.+?)\s{2,}(\d{1,10})\s{2,}(\d{8}|\d{4}-\d{2}-\d{2})\s{2,}(\S+)\s*$"
+
+
 def index_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, line_no, form, company, filer, filed, path) of a filing index: lines after the dashes, columns two blanks apart."""
     lines = df.select(F.col(doc_id), F.posexplode(F.split(text, r"\r?\n")).alias("line_no", "__l"), F.array_position(F.transform(F.split(text, r"\r?\n"), lambda x: F.startswith(x, F.lit("-----"))), True).alias("__from"))
-    form = r"^(\S+(?: \S+)*?)\s{2,}(.+?)\s{2,}(\d{1,10})\s{2,}(\d{8}|\d{4}-\d{2}-\d{2})\s{2,}(\S+)\s*$"
-    part = lambda i: F.regexp_extract("__l", form, i)
+    part = lambda i: F.regexp_extract("__l", INDEX_LINE, i)
     filer = F.regexp_replace(part(3), r"^0+(?=\d)", "")
-    rows = lines.filter((F.col("__from") > 0) & (F.col("line_no") >= F.col("__from")) & F.col("__l").rlike(form))
+    rows = lines.filter((F.col("__from") > 0) & (F.col("line_no") >= F.col("__from")) & F.col("__l").rlike(INDEX_LINE))
     return rows.select(doc_id, "line_no", part(1).alias("form"), F.trim(part(2)).alias("company"), filer.alias("filer"), F.to_date(F.try_to_timestamp(F.regexp_replace(part(4), "-", ""), F.lit("yyyyMMdd"))).alias("filed"), part(5).alias("path")).filter(F.col("filed").isNotNull())
 
 

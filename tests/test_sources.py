@@ -5,8 +5,8 @@ import zipfile
 import pytest
 
 from distriq.durable import durable, remove, shared_dir
-from distriq.sources.documents import html_rows, index_rows, rows_to_payouts, text_rows, workbook_rows
-from distriq.sources.files import export_csv, read_labelled, read_registry, read_snapshot, read_universe, report_json, report_markdown, write_snapshot
+from distriq.sources.documents import html_rows, index_rows, rows_to_payouts, sheet_cells, text_rows, workbook_rows
+from distriq.sources.files import export_csv, export_xlsx, read_labelled, read_registry, read_snapshot, read_universe, report_json, report_markdown, write_snapshot
 
 
 def test_html_headers(spark):
@@ -59,6 +59,13 @@ def test_files(spark, tmp_path):
         read_registry(spark, str(tmp_path / "bad.yaml"))
 
 
+def test_xlsx_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2024-01-02", "<&>\x01", ["a"]), (2, None, "é", None)], "id int, `ex-date` string, amount string, tags array<string>")
+    export_xlsx({"a table with a name that is far too long": df, "b": df.limit(0)}, str(tmp_path / "x.xlsx"))
+    cells = [(sheet, i, c) for sheet, i, c in sheet_cells((tmp_path / "x.xlsx").read_bytes())]
+    assert cells == [("xl/worksheets/sheet1.xml", 0, ["id", "ex-date", "amount", "tags"]), ("xl/worksheets/sheet1.xml", 1, ["1", "2024-01-02", "<&>", '["a"]']), ("xl/worksheets/sheet1.xml", 2, ["2", "", "é", ""]), ("xl/worksheets/sheet2.xml", 0, ["id", "ex-date", "amount", "tags"])]
+
+
 def test_export_snapshots_and_reports(spark, tmp_path):
     df = spark.createDataFrame([(1, ["a"])], "id int, tags array<string>")
     export_csv({"t": df}, str(tmp_path))
