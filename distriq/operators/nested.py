@@ -254,19 +254,20 @@ def child_table(df: DataFrame, root_id: str, column: str) -> DataFrame:
     return wide.withColumnsRenamed(clash).withColumnsRenamed({"__root": root_id, "__pos": "pos"})
 
 
-def owned_rows(shredded: DataFrame, table: str, code: str, detail: str) -> DataFrame:
-    """(root_id, parent_id, pos, code, detail) of the rows of ``table`` that have an owner and stand in no other row of ``table``.
+def owned_rows(shredded: DataFrame, table: str, under: str, code: str, detail: str) -> DataFrame:
+    """(root_id, parent_id, pos, code, detail) of the rows of ``table`` below an element ``under`` and in no other row of ``table``.
 
-    ``detail`` may be an object, inlined: its field "code" then. What is missing or NULL is ''.
+    parent_id is the owner's key. ``detail`` may be an object, inlined: its field "code" then. What is missing or NULL is ''.
     """
 
     def field(name: str) -> Column:
         return F.try_element_at("cols", F.lit(name))
 
     again = rf"[/.]{re.escape(table)}/(?:.*[/.])?{re.escape(table)}$"
-    return shredded.filter((F.col("tab") == table) & F.col("owner").isNotNull() & ~F.col("path").rlike(again)).select(
+    below = F.col("path").rlike(rf"[/.]{re.escape(under)}[/.]")
+    return shredded.filter((F.col("tab") == table) & below & ~F.col("path").rlike(again)).select(
         "root_id",
-        F.col("owner").alias("parent_id"),
+        F.coalesce("owner", F.lit("")).alias("parent_id"),
         "pos",
         F.coalesce(field(code), F.lit("")).alias("code"),
         F.coalesce(field(detail), field(f"{detail}.code"), F.lit("")).alias("detail"),

@@ -54,7 +54,7 @@ def _components(spark: SparkSession, directory: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, directory: str) -> DataFrame:
     runs = load(spark, directory, "multi_tier_6fund_live_validation")
-    attempts = owned_rows(shred_json(runs, "run_id", "payload", **ATTEMPTS), "source_attempts", "source_id", "retrieval_status")
+    attempts = owned_rows(shred_json(runs, "run_id", "payload", **ATTEMPTS), "source_attempts", "funds", "source_id", "retrieval_status")
     return attempts.select(F.lit("source_attempt").alias("kind"), "root_id", "parent_id", "pos", "code", "detail").unionByName(_components(spark, directory)).distinct()
 
 

@@ -11,7 +11,7 @@ def frame(spark, *payloads):
 
 def attempts(spark, *payloads):
     rows = shred_json(frame(spark, *payloads), "id", "p", key="fund_id", opened=("source_attempts",), maps=("funds",), own=("funds", "source_attempts"))
-    return sorted(tuple(r) for r in owned_rows(rows, "source_attempts", "source_id", "retrieval_status").distinct().collect())
+    return sorted(tuple(r) for r in owned_rows(rows, "source_attempts", "funds", "source_id", "retrieval_status").distinct().collect())
 
 
 A = {"source_id": "s", "retrieval_status": "OK"}
@@ -29,6 +29,11 @@ def test_missing_and_nested_values(spark):
     assert attempts(spark, {"funds": [{"fund_id": "F", "source_attempts": [inner]}]}) == [("r0", "F", 0, "", "TIMEOUT")]
 
 
+def test_a_fund_without_an_id(spark):
+    assert attempts(spark, {"funds": [{"fund_name": "N", "source_attempts": [A]}]}) == [("r0", "", 0, "s", "OK")]
+    assert attempts(spark, {"funds": [{"fund_id": None, "source_attempts": [{}]}]}) == [("r0", "", 0, "", "")]
+
+
 def test_what_yields_nothing(spark):
     assert attempts(spark, None, "", "HTTP 502", '{"funds": [', {"funds": [{"fund_id": "F", "source_attempts": None}]}, [], {"source_attempts": [A]}, "NaN", '{"a": NaN}') == []
     assert attempts(spark) == []
