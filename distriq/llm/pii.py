@@ -115,10 +115,12 @@ def find_mentions(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     NULL and empty texts have none. A document that comes twice gives its rows twice.
     """
 
+    weights = _default_weights()  # goes with the function, so that workers need no file
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in MENTIONS.split(", ")]
         for batch in batches:
-            yield pd.DataFrame([(d, c.kind, c.start + 1, c.end, t[c.start : c.end]) for d, t in zip(batch["d"].tolist(), batch["t"].tolist()) for c in mentions(t)], columns=names)
+            yield pd.DataFrame([(d, c.kind, c.start + 1, c.end, t[c.start : c.end]) for d, t in zip(batch["d"].tolist(), batch["t"].tolist()) for c in mentions(t, weights)], columns=names)
 
     return documents.select(F.col(f"`{doc_id}`").cast("long").alias("d"), F.col(f"`{text}`").alias("t")).filter(F.length("t") > 0).mapInPandas(scan, MENTIONS)
 
@@ -129,9 +131,11 @@ def redact(documents: DataFrame, text: str = "text", into: str = "redacted") ->
     All rows and columns are kept; a column already called ``into`` is replaced.
     """
 
+    weights = _default_weights()
+
     @F.pandas_udf("string")
     def replaced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series([masked(t, mentions(t)) if t else t for t in texts], dtype=object)
+            yield pd.Series([masked(t, mentions(t, weights)) if t else t for t in texts], dtype=object)
 
     return documents.withColumn(into, replaced(F.col(f"`{text}`")))
