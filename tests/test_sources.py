@@ -84,3 +84,19 @@ def test_durable(spark):
     assert df.count() == 5
     assert shared_dir(spark)
     remove(spark, shared_dir(spark) + "/nothing-here")
+
+
+def test_package_reaches_workers_elsewhere(tmp_path):
+    """A driver that found the package by its own path runs Python workers that don't have that path."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "import __spark_entry__ as e; from distriq.session import local_session\n"
+        "s = local_session(2); print('ROWS', e.queries()['p4_graph'](s, '/root/testdata/sf0.001').count())"
+    ) % os.getcwd()
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("SPARK")}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "ROWS" in run.stdout, run.stderr[-2000:]
