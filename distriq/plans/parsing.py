@@ -87,6 +87,17 @@ def parallel_arrays(spark, d):
     return read.select("class_id", F.explode(zipped({"day": F.col("a.days"), "event": F.col("a.ids")})).alias("z")).select("class_id", F.col("z.day").alias("ex_date"), F.col("z.event").alias("event_id"))
 
 
+@query("SELECT DISTINCT class_id, ex_date, event_id FROM distribution_event")
+def parallel_arrays_whole(spark, d):
+    """As parallel_arrays, over all events: a feed per class and year, its arrays as long as the year has events, the days one longer than the ids."""
+    e = load(spark, d, "distribution_event").select("class_id", "ex_date", "event_id").distinct()
+    # of structs, as a list of days alone would lack the NULL ones
+    years = e.groupBy("class_id", F.year("ex_date").alias("year")).agg(F.collect_list(F.struct("ex_date", "event_id")).alias("of"))
+    column = F.struct(F.concat(F.col("of.ex_date"), F.array(F.lit(None).cast("date"))).alias("days"), F.col("of.event_id").alias("ids"))
+    read = years.select("class_id", F.from_json(F.to_json(column), "days array<date>, ids array<string>").alias("a"))
+    return read.select("class_id", F.explode(zipped({"day": F.col("a.days"), "event": F.col("a.ids")})).alias("z")).select("class_id", F.col("z.day").alias("ex_date"), F.col("z.event").alias("event_id"))
+
+
 @query("SELECT DISTINCT class_id, ticker FROM share_class WHERE ticker IS NOT NULL")
 def script_json_roundtrip(spark, d):
     s = load(spark, d, "share_class").filter(F.col("ticker").isNotNull()).select("class_id", "ticker").distinct()
