@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROOT = "$"
+#: The only column of a list's entry that is no object.
+VALUE = "$value"
 
 #: How a name of a field is written; an object that has other keys and only objects as values is a map from keys to elements.
 FIELD_NAME = r"[a-z][a-zA-Z0-9_]*"
@@ -82,6 +84,14 @@ class Shredder:
             else:
                 yield value, 0, None
 
+    def leaves(self, name: str, value: object) -> Iterator[tuple[object, int]]:
+        """The entries of a list that are no objects, NULL ones too, with position; lists in a list are entries as they are."""
+        value = self.value(name, value)
+        if isinstance(value, list):
+            for i, entry in enumerate(value):
+                if not isinstance(self.value(name, entry), dict):
+                    yield entry, i
+
     def edges(self, record: object, found: dict[tuple[str, str], bool]) -> None:
         """Add (parent element, child element) -> repeated?"""
         todo = [(ROOT, entry) for entry, _, _ in self.children(ROOT, record)]
@@ -100,6 +110,8 @@ class Shredder:
     def rows(self, record: object, tables: frozenset[str], key: str | None, start: str) -> Iterator[tuple]:
         """(path, table, row, parent row, position, owner, columns); a row's name is its parent's and its own place there."""
         todo = [(ROOT, ROOT, entry, f"{start}:{i}", None, i, None, k) for entry, i, k in self.children(ROOT, record)]
+        for entry, i in self.leaves(ROOT, record):
+            yield ROOT, ROOT, f"{start}:{i}", None, i, None, {VALUE: scalar(entry)}
         while todo:
             path, table, element, row, parent, pos, owner, map_key = todo.pop()
             columns: dict[str, str | None] = {}
@@ -109,7 +121,7 @@ class Shredder:
                 prefix, part = inline.pop()
                 for field, held in part.items():
                     entries = list(self.children(field, held))
-                    if entries and field in tables:
+                    if field in tables and (entries or any(True for _ in self.leaves(field, held))):
                         below.append((prefix, field, held))
                     elif entries:
                         inline.append((f"{prefix}{field}.", entries[0][0]))
@@ -118,7 +130,10 @@ class Shredder:
             own = columns.get(key) if key else None
             inherited = own if own is not None else map_key if map_key is not None else owner
             for prefix, field, held in below:
+                held = self.value(field, held)
                 todo.extend((f"{path}/{prefix}{field}", field, entry, f"{row}/{prefix}{field}:{i}", row, i, inherited, k) for entry, i, k in self.children(field, held))
+                for entry, i in self.leaves(field, held):
+                    yield f"{path}/{prefix}{field}", field, f"{row}/{prefix}{field}:{i}", row, i, inherited, {VALUE: scalar(entry)}
             yield path, table, row, parent, pos, owner, columns
 
 
@@ -176,8 +191,8 @@ def shred_json(df: DataFrame, root_id: str, column: str, key: str | None = None,
     * owner: the foreign key to the nearest row above that has the field ``key`` or, lacking it, stood under a key in a map.
     * cols: the element's own fields and those inlined into it, named by their path; other values than strings as JSON.
 
-    Entries that are NULL or not objects keep their place but give no row. Texts that are NULL, empty or not JSON give
-    no rows. ``opened``, ``maps``: see :class:`Shredder`. ``own``: elements that get a table even if these
+    Entries of lists that aren't objects are rows with the one column ``$value``: NULL for NULL, a list in a list as JSON.
+    Empty lists give no row, nor do texts that are NULL, empty, not JSON or a single value. ``opened``, ``maps``: see :class:`Shredder`. ``own``: elements that get a table even if these
     records hold one of them at most; ``inline``: elements that don't even if they are shared (of several in a
     list, the first counts). ``tables``: all elements with tables, if they are known; else the graph is
     analysed first.
@@ -254,10 +269,15 @@ def child_table(df: DataFrame, root_id: str, column: str) -> DataFrame:
     return wide.withColumnsRenamed(clash).withColumnsRenamed({"__root": root_id, "__pos": "pos"})
 
 
+def is_object() -> Column:
+    """Whether a row of :func:`shred_json` is an object, not another value in a list."""
+    return ~F.map_contains_key("cols", F.lit(VALUE))
+
+
 def owned_rows(shredded: DataFrame, table: str, under: str, code: str, detail: str) -> DataFrame:
     """(root_id, parent_id, pos, code, detail) of the rows of ``table`` below an element ``under`` and in no other row of ``table``.
 
-    parent_id is the owner's key. ``detail`` may be an object, inlined: its field "code" then. What is missing or NULL is ''.
+    Entries of ``table`` that aren't objects keep their place but give no row. parent_id is the owner's key. ``detail`` may be an object, inlined: its field "code" then. What is missing or NULL is ''.
     """
 
     def field(name: str) -> Column:
@@ -265,7 +285,7 @@ def owned_rows(shredded: DataFrame, table: str, under: str, code: str, detail: s
 
     again = rf"[/.]{re.escape(table)}/(?:.*[/.])?{re.escape(table)}$"
     below = F.col("path").rlike(rf"[/.]{re.escape(under)}[/.]")
-    return shredded.filter((F.col("tab") == table) & below & ~F.col("path").rlike(again)).select(
+    return shredded.filter((F.col("tab") == table) & is_object() & below & ~F.col("path").rlike(again)).select(
         "root_id",
         F.coalesce("owner", F.lit("")).alias("parent_id"),
         "pos",

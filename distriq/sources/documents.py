@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from distriq.functions.text import ANY_DATE, date_kind, date_of, find_dates, header_kinds, plain_amount, spaced_key, without_tags
+from distriq.operators.nested import is_object
 
 # Words that tell a header row from data.
 HEADER_WORDS = ("ex-", "record", "pay", "amount", "distribution")
@@ -113,7 +114,7 @@ def zipped(arrays: dict[str, Column]) -> Column:
 def feed_rows(shredded: DataFrame) -> DataFrame:
     """(root_id, row_id, headers, cells) of all records that stand in lists anywhere in JSON documents; see shred_json."""
     entries = F.map_entries("cols")
-    return shredded.filter(F.col("tab") != "$").select("root_id", "row_id", F.transform(entries, lambda e: spaced_key(e["key"])).alias("headers"), F.transform(entries, lambda e: F.coalesce(e["value"], F.lit(""))).alias("cells"))
+    return shredded.filter((F.col("tab") != "$") & is_object()).select("root_id", "row_id", F.transform(entries, lambda e: spaced_key(e["key"])).alias("headers"), F.transform(entries, lambda e: F.coalesce(e["value"], F.lit(""))).alias("cells"))
 
 
 _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
