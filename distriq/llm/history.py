@@ -7,7 +7,8 @@ doubles the cell a prefix stands for, in both coordinates.
 
 Four trees hold the signatures shifted by none or one unit in either coordinate. One bit pair shorter than the whole, a
 cell is two units wide, so any two entries within tolerance share a cell in at least one tree: from that prefix on the
-recall is 1, while whole signatures find some of the pairs only. :func:`level_for` widens until the target is reached.
+recall is 1, while whole signatures find some of the pairs only. :func:`level_for` has the one length for a target;
+candidates are found by an equi-join on prefixes of that length.
 
 The accepted entries of each batch are written as a run, sorted by tree, block of days, key and signature. A new batch
 reads the row groups of its own blocks only, finds its prefixes there, and verifies what it found. Runs are merged four
@@ -200,19 +201,19 @@ _RUN = "tree int, block int, key string, code long, id long, day int, amount dou
 _RUN_COLUMNS = [c.split()[0] for c in _RUN.split(", ")]
 
 
-def restated(df: DataFrame, batch_column: str, days: int = 1, rate: float = 0.005, increments: int = 1) -> DataFrame:
+def restated(df: DataFrame, batch_column: str, days: int = 1, rate: float = 0.005, increments: int | None = None) -> DataFrame:
     """(first_id, dup_id) of all batches of ``df``, added to a new index in the order of ``batch_column``.
 
     ``df`` has id, key, day and amount as :meth:`HistoryIndex.add` wants them, ids rising with batches. What is decided
-    about an entry depends on those with smaller ids only, so all batches but the last ``increments`` are loaded in one
-    step, as one does with a history that is there already; the last ones are added one by one to the index that then
-    exists. Rows without a batch are left out.
+    about an entry depends on those with smaller ids only. Batches are added one by one; with ``increments``, all but the
+    last so many are loaded in one step before, as one does with a history that is there already. Rows without a batch
+    are left out.
     """
     index = HistoryIndex(df.sparkSession, days, rate)
     numbers = sorted(r[0] for r in df.select(batch_column).filter(F.col(batch_column).isNotNull()).distinct().collect())
     if not numbers:
         return df.sparkSession.createDataFrame([], "first_id long, dup_id long")
-    cut = max(0, len(numbers) - increments)
+    cut = 0 if increments is None else max(0, len(numbers) - increments)
     parts = [index.add(df.filter(F.col(batch_column) <= numbers[cut - 1]))] if cut else []
     parts += [index.add(df.filter(F.col(batch_column) == n)) for n in numbers[cut:]]
     for _, path in index.runs:
