@@ -121,6 +121,12 @@ def written_dates(spark, d):
     return x.select("extract_id", first_date(F.col("ex_date")).alias("ex_day"))
 
 
+@query("""SELECT extract_id, CASE WHEN regexp_matches(ex_date, '^(\\d{4}-\\d\\d-\\d\\d|\\d\\d/\\d\\d/\\d{4}|[A-Za-z]+ \\d+, \\d{4})$') THEN coalesce(try_strptime(ex_date, '%Y-%m-%d'), try_strptime(ex_date, '%m/%d/%Y'), try_strptime(ex_date, '%b %d, %Y'), try_strptime(ex_date, '%B %d, %Y'))::DATE END AS ex_day FROM layer_b_extracted_events""")
+def written_dates_whole(spark, d):
+    """As written_dates, of every row: NULL where first_date reads nothing, as in blank ones and notations it doesn't know (dd-Mon-yyyy, yyyymmdd, a time right after the day)."""
+    return load(spark, d, "layer_b_extracted_events").select("extract_id", first_date(F.col("ex_date")).alias("ex_day"))
+
+
 @query()
 def document_dates(spark, d):
     """All dates of each text in reading order, and those that follow their labels."""

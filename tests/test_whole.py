@@ -26,3 +26,10 @@ def test_parallel_arrays_of_all_days(spark, tmp_path):
     rows = [("e1", "a", date(2019, 11, 2)), ("e2", "a", D), ("e3", "a", D), ("e4", "a", None), ("e5", None, D), ("e1", "a", date(2019, 11, 2))]
     got = parsing.QUERIES["parallel_arrays_whole"](spark, events(spark, tmp_path, rows)).collect()
     assert sorted(((r["event_id"], r["class_id"], r["ex_date"]) for r in got)) == sorted(set(rows))
+
+
+def test_written_dates_of_every_row(spark, tmp_path):
+    rows = [(1, "2024-03-05"), (2, "05-Mar-2024"), (3, "20240305"), (4, "2024-03-05T00:00:00Z"), (5, ""), (6, None), (7, "TBA"), (8, "March 5, 2024")]
+    spark.createDataFrame(rows, "extract_id long, ex_date string").write.parquet(f"{tmp_path}/layer_b_extracted_events.parquet")
+    got = {r["extract_id"]: r["ex_day"] for r in parsing.QUERIES["written_dates_whole"](spark, str(tmp_path)).collect()}
+    assert got == dict.fromkeys(range(1, 9)) | {1: date(2024, 3, 5), 8: date(2024, 3, 5)}
