@@ -69,6 +69,26 @@ def text_schedule_roundtrip(spark, d):
     return rows_to_payouts(text_rows(texts, "event_id", "text"), ["event_id"]).select("event_id", "ex_date", "record_date", "payable_date", "amount").distinct()
 
 
+@query("SELECT DISTINCT event_id, ex_date, record_date, payable_date, declaration_date, gross_amount::DOUBLE AS amount FROM distribution_event WHERE ex_date >= DATE '2000-01-01' AND (record_date IS NOT NULL OR payable_date IS NOT NULL OR declaration_date IS NOT NULL)")
+def text_schedule_any_dates(spark, d):
+    """As text_schedule_roundtrip, each row under a header of just the dates it has.
+
+    The format can't hold a row whose only date is the ex-date, as a header names two kinds of dates at least, nor years
+    before 2000.
+    """
+    e = load(spark, d, "distribution_event").filter(F.col("ex_date") >= "2000-01-01")
+    s = e.select("event_id", "ex_date", "record_date", "payable_date", "declaration_date", F.col("gross_amount").cast("double").alias("amount")).distinct()
+    s = s.filter(F.coalesce("record_date", "payable_date", "declaration_date").isNotNull())
+    forms = {"ex": "yyyy-MM-dd", "record": "MMM d, yyyy", "payable": "MM/dd/yyyy", "declaration": "d MMMM yyyy"}
+    names = {"ex": "Ex-Date", "record": "Record Date", "payable": "Payable Date", "declaration": "Declaration Date"}
+    header = F.concat_ws("  ", *(F.when(F.col(f"{k}_date").isNotNull(), F.lit(n)) for k, n in names.items()), F.lit("Amount"))
+    line = F.concat_ws("   ", *(F.date_format(f"{k}_date", form) for k, form in forms.items()), F.concat(F.lit("$"), F.col("amount").cast("decimal(12,6)").cast("string")))
+    # an event comes in several versions, which are pages of their own
+    texts = s.select(F.struct("event_id", F.xxhash64(*s.columns).alias("version")).alias("page"), F.concat(F.lit("Fund schedule\n"), header, F.lit("\n\n"), line, F.lit("\nTotal 12\n")).alias("text"))
+    rows = rows_to_payouts(text_rows(texts, "page", "text"), ["page"])
+    return rows.select("page.event_id", "ex_date", "record_date", "payable_date", "declaration_date", "amount").distinct()
+
+
 @query("SELECT DISTINCT cik AS filer, fund_name AS company, CAST(updated_at AT TIME ZONE 'UTC' AS DATE) AS filed, 'funds/' || cik || '.txt' AS path FROM fund_master WHERE cik IS NOT NULL AND NOT regexp_matches(fund_name, '\\s{2,}') AND trim(fund_name) <> ''")
 def index_file_roundtrip(spark, d):
     f = load(spark, d, "fund_master").filter(F.col("cik").isNotNull() & ~F.col("fund_name").rlike(r"\s{2,}") & (F.trim("fund_name") != "")).select("fund_id", "cik", "fund_name", F.to_date("updated_at").alias("filed")).distinct()

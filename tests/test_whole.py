@@ -33,3 +33,12 @@ def test_written_dates_of_every_row(spark, tmp_path):
     spark.createDataFrame(rows, "extract_id long, ex_date string").write.parquet(f"{tmp_path}/layer_b_extracted_events.parquet")
     got = {r["extract_id"]: r["ex_day"] for r in parsing.QUERIES["written_dates_whole"](spark, str(tmp_path)).collect()}
     assert got == dict.fromkeys(range(1, 9)) | {1: date(2024, 3, 5), 8: date(2024, 3, 5)}
+
+
+def test_schedules_of_rows_that_lack_dates(spark, tmp_path):
+    day = [date(2026, 9, n) for n in range(1, 5)]
+    rows = [("e1", "a", day[1], day[2], day[3], day[0], 1), ("e2", "a", day[1], None, day[3], None, 2), ("e2", "a", day[1], day[2], None, None, 2), ("e3", "a", day[1], None, None, day[0], 3), ("e4", "a", day[1], None, None, None, 4)]
+    kind = "event_id string, class_id string, ex_date date, record_date date, payable_date date, declaration_date date, gross_amount long"
+    spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/distribution_event.parquet")
+    got = parsing.QUERIES["text_schedule_any_dates"](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in got} == {(e, ex, r, p, d, float(a)) for e, _, ex, r, p, d, a in rows if e != "e4"}
