@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distriq.functions.text import first_date, find_dates, json_after, labelled_dates, sentences, unescape
+from distriq.functions.text import dateline, first_date, find_dates, json_after, labelled_amount, labelled_dates, payout_sentence, sentences, unescape
 from distriq.operators.fallback import first_yielding
 from distriq.operators.nested import shred_json
 from distriq.plans.relational import query as _register
@@ -147,11 +147,24 @@ def written_dates_whole(spark, d):
     return load(spark, d, "layer_b_extracted_events").select("extract_id", first_date(F.col("ex_date")).alias("ex_day"))
 
 
+# Labels of the whole amount in notices.
+AMOUNT_LABEL = r"total\s+distribution(?:\s+per\s+(?:share|unit))?|distribution\s+per\s+(?:share|unit)|distribution\s+(?:amount|rate)|per\s+(?:share|unit)\s+distribution"
+
+
 @query()
 def document_dates(spark, d):
-    """All dates of each text in reading order, and those that follow their labels."""
+    """How many dates each text has, those that follow their labels, the dateline's, and the labelled amount."""
     docs = load(spark, d, "documents").select("doc_id", "text")
-    return docs.select("doc_id", F.size(find_dates(F.col("text"))).alias("n_dates"), *(c.alias(f"{k}_date") for k, c in labelled_dates(F.col("text")).items()))
+    text = F.col("text")
+    dates = labelled_dates(text) | {"published": dateline(text)}
+    return docs.select("doc_id", F.size(find_dates(text)).alias("n_dates"), *(c.alias(f"{k}_date") for k, c in dates.items()), labelled_amount(text, AMOUNT_LABEL).alias("amount"))
+
+
+@query()
+def document_evidence(spark, d):
+    """Of each text the first sentence that tells a payout and its date, with the amount it names."""
+    docs = load(spark, d, "documents").select("doc_id", payout_sentence(F.col("text")).alias("s"))
+    return docs.filter(F.col("s").isNotNull()).select("doc_id", "s.event_date", "s.amount", "s.snippet")
 
 
 @query("SELECT doc_id, count(*) AS schedule_rows FROM (SELECT doc_id, unnest(regexp_split_to_array(text, '\\r?\\n')) AS l, instr(lower(text), 'ex-date | record date | payable date | amount') > 0 AS has FROM documents) WHERE has AND regexp_full_match(l, '[^|]*\\d{4}[^|]*\\|[^|]*\\d{4}[^|]*\\|[^|]*\\d{4}[^|]*\\| ?\\d*\\.\\d+ *') GROUP BY doc_id")
