@@ -1,69 +1,56 @@
 """New batches against all history: a forest of prefix trees over sorted signature permutations.
 
-An entry has a key that must agree and two coordinates that may differ a little: a day, by at most ``days``, and an
-amount, by at most ``rate`` of the larger one. Its signature is the key's sign-and-fund text and then the bits of both
-coordinates, interleaved from coarse to fine, each counted in units of its tolerance. Cutting two bits off the end
-doubles the cell a prefix stands for, in both coordinates.
-
-Four trees hold the signatures shifted by none or one unit in either coordinate. One bit pair shorter than the whole, a
-cell is two units wide, so any two entries within tolerance share a cell in at least one tree: from that prefix on the
-recall is 1, while whole signatures find some of the pairs only. :func:`level_for` has the one length for a target;
-candidates are found by an equi-join on prefixes of that length.
-
-The accepted entries of each batch are written as a run, sorted by tree, block of days, key and signature. A new batch
-reads the row groups of its own blocks only, finds its prefixes there, and verifies what it found. Runs are merged four
-at a time, so that there are few of them. Nothing but the batch is looked at as a whole.
-
-Within a batch, rows equal in key, day and amount are one value. Entries that are the first in all their cells can't
-restate anything undecided before them and are accepted; what matches them is a duplicate; and so on until all are
-decided. As accepted entries never match each other, a cell holds at most a few, so a cell with a third of all rows
-meets those few only, never itself.
+The accepted entries of each batch are written as a run: four permutations of them, each sorted by key and signature (see
+:mod:`distriq.llm.forest`). A new batch is put in the order of its keys; each task finds its entries' ranges in the runs
+by binary search, reads the row groups these ranges meet and no others, and verifies exactly what it finds. Runs are
+merged four at a time, so that there are few of them. What a batch costs depends on the batch, on the number of runs,
+which grows with the logarithm of the number of batches, and on nothing else of the history.
+
+Within a batch, rows equal in key, day and amount are one value. What a value restates depends on others of its key only,
+so a task that has whole keys decides them one by one. A key with more rows in one batch than KEY_ROWS isn't given to one
+task: its values that are the first in all their cells can't restate anything undecided before them and are accepted;
+what matches them is a duplicate; and so on until all are decided. As accepted entries never match each other, a cell
+holds at most a few, so a cell with a third of all rows meets those few only, never itself.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark import StorageLevel
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distriq.durable import durable, fresh_path, remove
+from distriq.llm.forest import BITS, ORIGIN, TREES, Forest, settled, shifts, unit_of, whole_keys
 
-#: Days of one block, as a power of two; a batch reads the blocks it has entries in.
-BLOCK_BITS = 6
 #: So many runs of one level become one of the next.
 FAN_IN = 4
-_DAY_ZERO, _AMOUNT_ZERO = 1 << 20, 1 << 18
+#: Rows of one key in one batch that a task decides, at most; keys with more are decided by joins.
+KEY_ROWS = 1_000_000
+#: Rows of a run's row group: what one range search reads at least.
+GROUP_ROWS = 1024
 
-
-def level_for(recall: float) -> int:
-    """The number of bit pairs to cut off so that at least this share of pairs within tolerance meets in some tree.
-
-    Whole signatures guarantee nothing for pairs a unit apart; one pair of bits less guarantees all.
-    """
-    if not 0 <= recall <= 1:
-        raise ValueError("recall is a share")
-    return 0 if recall == 0 else 1
-
-
-#: Steps that put a gap after each of the lower 22 bits: shift and mask of each.
+#: Steps that put a gap after each of the lower bits: shift and mask of each.
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
 
 
 def with_signature(df: DataFrame, days: int, rate: float) -> DataFrame:
-    """``df`` (day, amount, tree) with ``code``: the interleaved bits of both coordinates, shifted as the tree says, bit 0 for the day, bit 1 for the amount.
+    """``df`` (day, amount, tree) with ``code``, the signature in that tree, as :func:`distriq.llm.forest.interleaved` has it.
 
     Each step is a column of its own: within one expression every step would be evaluated twice by the next.
     """
-    unit = -math.log1p(-rate) * (1 + 1e-9)
-    x = F.floor(F.col("day") / F.lit(days)).cast("long") + _DAY_ZERO + F.col("tree").bitwiseAND(F.lit(1))
-    y = F.when(F.col("amount") == 0, F.lit(0)).otherwise(F.floor(F.log(F.abs("amount")) / F.lit(unit))).cast("long") + _AMOUNT_ZERO + F.shiftright("tree", 1)
-    df = df.withColumns({"__x": x, "__y": y})
-    for shift, mask in _SPREAD:
-        df = df.withColumns({c: F.col(c).bitwiseOR(F.shiftleft(c, shift)).bitwiseAND(F.lit(mask)) for c in ("__x", "__y")})
+
+    def shift(axis: int) -> Column:
+        return F.get(F.array(*(F.lit(shifts(t)[axis]) for t in range(TREES))), F.col("tree"))
+
+    x = F.floor(F.col("day") / F.lit(days)).cast("long") + ORIGIN + shift(0)
+    y = F.when(F.col("amount") == 0, F.lit(0)).otherwise(F.floor(F.log(F.abs("amount")) / F.lit(unit_of(rate)))).cast("long") + ORIGIN + shift(1)
+    mask = F.lit((1 << BITS) - 1)
+    df = df.withColumns({"__x": x.bitwiseAND(mask), "__y": y.bitwiseAND(mask)})
+    for by, kept in _SPREAD:
+        df = df.withColumns({c: F.col(c).bitwiseOR(F.shiftleft(c, by)).bitwiseAND(F.lit(kept)) for c in ("__x", "__y")})
     # never NULL, or the filter on NULL keys that joins add would be pushed below the steps, as one expression of them all
     return df.withColumn("code", F.coalesce(F.shiftleft("__x", 1).bitwiseOR(F.col("__y")), F.lit(-1))).drop("__x", "__y")
 
@@ -73,78 +60,114 @@ def near(a: tuple[Column, Column], b: tuple[Column, Column], days: int, rate: fl
     return (F.abs(a[0] - b[0]) <= days) & (F.abs(a[1] - b[1]) <= rate * F.greatest(F.abs(a[1]), F.abs(b[1])))
 
 
-class HistoryIndex:
-    """Accepted entries of all batches so far. ``days`` at least 1; amounts of different signs never match."""
-
-    def __init__(self, spark: SparkSession, days: int = 1, rate: float = 0.005, recall: float = 1.0) -> None:
-        self.spark, self.days, self.rate, self.level = spark, days, rate, level_for(recall)
-        self.runs: list[tuple[int, str]] = []
-
-    def _signed(self, entries: DataFrame) -> DataFrame:
-        """One row per tree: ``cell`` is the prefix searched for, ``block`` leads the order in which runs are sorted."""
-        wide = entries.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(4)))))
-        coded = with_signature(wide, self.days, self.rate)
-        return coded.withColumn("cell", F.shiftright("code", 2 * self.level)).withColumn("block", self._block(F.col("day"), F.col("tree")))
-
-    def _block(self, day: Column, tree: Column) -> Column:
-        # of the shifted day, as the cell is, so that no cell lies in two blocks
-        return F.shiftright(F.floor(day / F.lit(self.days)).cast("int") + tree.bitwiseAND(F.lit(1)), BLOCK_BITS)
-
-    def _history(self, blocks: list[int]) -> DataFrame | None:
-        """The accepted entries in these blocks; ranges of blocks are pushed down to the runs' row groups."""
-        if not self.runs or not blocks:
-            return None
-        spans: list[list[int]] = []
-        for b in sorted(blocks):
-            if spans and b <= spans[-1][1] + 1:
-                spans[-1][1] = b
-            else:
-                spans.append([b, b])
-        wanted = reduce(lambda p, q: p | q, (F.col("block").between(lo, hi) for lo, hi in spans))
-        return self.spark.read.schema(_RUN).parquet(*(path for _, path in self.runs)).filter(wanted)
-
-    def _write_run(self, signed: DataFrame, level: int) -> None:
-        path = fresh_path(self.spark, f"run{level}")
-        order = ["tree", "block", "key", "code"]
-        rows = signed.select(*_RUN_COLUMNS)
-        rows = rows.repartitionByRange(*order) if level else rows
-        rows.sortWithinPartitions(*order).write.option("parquet.block.size", 16 << 20).parquet(path)
-        self.runs.append((level, path))
-        same = [r for r in self.runs if r[0] == level]
-        if len(same) == FAN_IN:
-            self._write_run_merged(same, level)
+_VALUE = "id long, key string, day int, amount double, copies long"
+_DECIDED = f"{_VALUE}, first long"
+_RUN = "key string, code long, id long, day int, amount double, tree int"
 
-    def _write_run_merged(self, same: list[tuple[int, str]], level: int) -> None:
-        merged = self.spark.read.schema(_RUN).parquet(*(path for _, path in same))
-        self.runs = [r for r in self.runs if r not in same]
-        self._write_run(merged, level + 1)
-        for _, path in same:
-            remove(self.spark, path)
 
-    def _matches(self, probes: DataFrame, accepted: DataFrame) -> DataFrame:
-        """(id, first): of each probe the smallest accepted id before it that it matches."""
-        a = accepted.select("tree", "key", F.shiftright("code", 2 * self.level).alias("cell"), F.col("id").alias("first"), F.col("day").alias("__d"), F.col("amount").alias("__a"))
-        found = probes.join(a, ["cell", "key", "tree"]).filter((F.col("first") < F.col("id")) & near((F.col("day"), F.col("amount")), (F.col("__d"), F.col("__a")), self.days, self.rate))
-        return found.groupBy("id").agg(F.min("first").alias("first"))
+class HistoryIndex:
+    """Accepted entries of all batches so far. ``days`` at least 1; amounts of different signs never match.
 
-    def _round(self, open_values: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """``open_values`` with ``verdict``: 1, surely accepted now; 2, matches one of those; NULL, still undecided.
+    ``recall``: the share of matches that a range search has to find; below 1 prefixes may stay longer, see
+    :meth:`distriq.llm.forest.Forest.widened`. ``rows_read``: of the history, in all searches so far; tasks that were run
+    again count again. :meth:`close` removes the runs; frames that :meth:`add` returned can't be read then.
+    """
 
-        What is used in several places is kept: the planner would work it out anew for each, as each needs other columns.
-        """
-        signed = self._signed(open_values)
+    def __init__(self, spark: SparkSession, days: int = 1, rate: float = 0.005, recall: float = 1.0) -> None:
+        if not 0 <= recall <= 1:
+            raise ValueError("recall is a share")
+        unit_of(rate)
+        self.spark, self.days, self.rate, self.recall = spark, days, rate, recall
+        self.runs: list[tuple[int, str]] = []
+        self.spent: list[str] = []
+        self.rows_read = spark.sparkContext.accumulator(0)
+
+    def _searched(self, values: DataFrame, whole: bool) -> DataFrame:
+        """``values`` with ``first``, the smallest accepted id they match: in the history and, with ``whole`` keys, in the batch."""
+        paths, days, rate, recall, read = [path for _, path in self.runs], self.days, self.rate, self.recall, self.rows_read
+
+        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            forest = Forest(paths, days, rate, recall)
+            for entries in whole_keys(batches) if whole else batches:
+                first = forest.first(entries)
+                if whole:
+                    first = settled(entries, first, days, rate)
+                yield entries.assign(first=pd.arrays.IntegerArray(first, first < 0))
+            read.add(forest.rows_read)
+
+        order = ["key"] if whole else ["key", "day", "amount"]
+        return values.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(search, _DECIDED)
+
+    def _written(self, df: DataFrame, name: str) -> str:
+        path = fresh_path(self.spark, name)
+        df.write.parquet(path)
+        self.spent.append(path)
+        return path
+
+    def _round(self, open_values: DataFrame) -> DataFrame:
+        """``open_values`` with ``first`` and ``accepted``: accepted now, or the head they match that is; both missing, still undecided."""
+        wide = with_signature(open_values.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))), self.days, self.rate)
+        signed = wide.withColumn("cell", F.shiftright("code", 4))
         cells = signed.groupBy("cell", "key", "tree").agg(F.min(F.struct("id", "day", "amount")).alias("head"))
         close = near((F.col("day"), F.col("amount")), (F.col("head.day"), F.col("head.amount")), self.days, self.rate)
         # an entry meets one head per tree, so the set of heads has four members at most
-        each = keep(signed.join(cells, ["cell", "key", "tree"]).groupBy("id").agg(
-            *(F.first(c).alias(c) for c in ("key", "day", "amount")),
-            F.every(F.col("id") == F.col("head.id")).alias("__is_head"),
-            F.collect_set(F.when(close & (F.col("id") != F.col("head.id")), F.col("head.id"))).alias("__heads"),
-        ))
-        heads = each.filter("__is_head")
-        rest = each.filter("NOT __is_head").withColumn("__h", F.explode_outer("__heads")).join(heads.select(F.col("id").alias("__h"), F.lit(2).alias("__met")), "__h", "left")
-        judged = rest.groupBy("id").agg(*(F.first(c).alias(c) for c in ("key", "day", "amount")), F.max("__met").alias("verdict"))
-        return heads.select("id", "key", "day", "amount", F.lit(1).alias("verdict")).unionByName(judged)
+        each = signed.join(cells, ["cell", "key", "tree"]).groupBy("id").agg(
+            *(F.first(c).alias(c) for c in ("key", "day", "amount", "copies")),
+            F.every(F.col("id") == F.col("head.id")).alias("accepted"),
+            F.collect_set(F.when(close & (F.col("id") != F.col("head.id")), F.col("head.id"))).alias("heads"),
+        )
+        each = self.spark.read.schema(f"{_VALUE}, accepted boolean, heads array<long>").parquet(self._written(each, "round"))
+        rest = each.filter("NOT accepted").withColumn("h", F.explode_outer("heads")).join(each.filter("accepted").select(F.col("id").alias("h"), F.col("id").alias("met")), "h", "left")
+        judged = rest.groupBy("id").agg(*(F.first(c).alias(c) for c in ("key", "day", "amount", "copies")), F.min("met").alias("first")).withColumn("accepted", F.lit(False))
+        names = [c.split()[0] for c in _VALUE.split(", ")]
+        return each.filter("accepted").select(*names, F.lit(None).cast("long").alias("first"), "accepted").unionByName(judged)
+
+    def _decided_by_joins(self, values: DataFrame) -> list[str]:
+        """Paths of decided values of keys with too many of them for one task."""
+        old = self.spark.read.schema(_DECIDED).parquet(self._written(self._searched(values, False), "searched"))
+        out = [self._written(old.filter("first IS NOT NULL"), "decided")]
+        open_values = old.filter("first IS NULL").drop("first")
+        accepted: list[DataFrame] = []
+        lost: list[DataFrame] = []
+        while not open_values.isEmpty():
+            done = self.spark.read.schema(f"{_DECIDED}, accepted boolean").parquet(self._written(self._round(open_values), "round"))
+            accepted.append(done.filter("accepted").drop("accepted"))
+            lost.append(done.filter("first IS NOT NULL").drop("accepted"))
+            open_values = done.filter("NOT accepted AND first IS NULL").drop("first", "accepted")
+        for part in accepted:
+            out.append(self._written(part, "decided"))
+        if not lost:
+            return out
+        # of all accepted entries that a duplicate matches the first one counts, not the one of its round
+        heads, rest = accepted[0], lost[0]
+        for a, b in zip(accepted[1:], lost[1:]):
+            heads, rest = heads.unionByName(a), rest.unionByName(b)
+        signed = [with_signature(df.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))), self.days, self.rate).withColumn("cell", F.shiftright("code", 4)) for df in (heads, rest.drop("first"))]
+        heads = signed[0].select("tree", "key", "cell", F.col("id").alias("first"), F.col("day").alias("__d"), F.col("amount").alias("__a"))
+        found = signed[1].join(heads, ["cell", "key", "tree"]).filter((F.col("first") < F.col("id")) & near((F.col("day"), F.col("amount")), (F.col("__d"), F.col("__a")), self.days, self.rate))
+        out.append(self._written(found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("key", "day", "amount", "copies")), F.min("first").alias("first")), "decided"))
+        return out
+
+    def decide(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows, values): the usable rows of a batch, and its values with ``first``, the accepted id each restates; NULL, if it is accepted.
+
+        The accepted values become a run of the index. ``values`` is on shared storage until :meth:`close`.
+        """
+        rows = _usable(batch)
+        values = rows.groupBy("key", "day", "amount").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+        values = values.select("id", "key", "day", "amount", "copies")
+        paths = []
+        if batch.count() > KEY_ROWS:
+            # fewer than rows / KEY_ROWS
+            many = [r[0] for r in rows.groupBy("key").count().filter(F.col("count") > KEY_ROWS).select("key").collect()]
+            if many:
+                paths = self._decided_by_joins(values.filter(F.col("key").isin(many)))
+                values = values.filter(~F.col("key").isin(many))
+        paths.append(self._written(self._searched(values, True), "decided"))
+        decided = self.spark.read.schema(_DECIDED).parquet(*paths)
+        accepted = decided.filter("first IS NULL").withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES)))))
+        self._write_run(with_signature(accepted, self.days, self.rate), 0)
+        return rows, decided
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Decide a batch and remember what it accepts; returns (first_id, dup_id) of its duplicates.
@@ -153,69 +176,69 @@ class HistoryIndex:
         amount, or whose amount is no finite number, are neither duplicate nor accepted. Other columns are left alone.
         first_id is the smallest accepted id that matches. An empty batch changes nothing.
         """
-        finite = F.col("amount").isNotNull() & ~F.isnan("amount") & (F.abs("amount") < float("inf"))
-        rows = batch.select("id", F.concat_ws("|", F.signum("amount").cast("int").cast("string"), F.col("key")).alias("key"), F.col("key").alias("__k"), F.col("day").cast("int").alias("day"), F.col("amount").cast("double").alias("amount"))
-        rows = rows.filter(F.col("__k").isNotNull() & F.col("day").isNotNull() & finite).drop("__k")
-        kept: list[DataFrame] = []
-
-        def keep(df: DataFrame) -> DataFrame:
-            kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-            return kept[-1]
-
-        values = keep(rows.groupBy("key", "day", "amount").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
-        trees = self._signed(values)
-        # as many blocks as the calendar has, whatever the batch's size
-        # as many blocks as the calendar has, whatever the batch's size
-        blocks = trees.agg(F.collect_set("block")).first()[0]
-        if not blocks:
-            return self.spark.createDataFrame([], "first_id long, dup_id long")
-        history = self._history(blocks)
-        old = keep(self._matches(trees, history)) if history is not None else None
-        open_values = (values if old is None else values.join(old, "id", "left_anti")).select("id", "key", "day", "amount")
-        rounds: list[DataFrame] = []
-        spent: list[str] = []
-        while not rounds or not open_values.isEmpty():
-            spent.append(fresh_path(self.spark, "round"))
-            self._round(open_values, keep).write.parquet(spent[-1])
-            rounds.append(self.spark.read.schema(_ROUND).parquet(spent[-1]))
-            open_values = rounds[-1].filter("verdict IS NULL").drop("verdict")
-        decided = self.spark.read.schema(_ROUND).parquet(*spent)
-        fresh, lost = (decided.filter(F.col("verdict") == v).drop("verdict") for v in (1, 2))
-        new = keep(self._matches(self._signed(lost), self._signed(fresh)))
-        matched = new if old is None else old.unionByName(new)
-        # a copy of an accepted value restates it, a copy of a duplicate what that restates
-        single = matched.select(F.col("first").alias("first_id"), F.col("id").alias("dup_id"))
-        several = values.filter("copies > 1").join(matched, "id", "left").select("key", "day", "amount", F.col("id").alias("__id"), F.coalesce("first", "id").alias("first_id"))
-        copies = rows.join(several, ["key", "day", "amount"]).filter(F.col("id") != F.col("__id")).select("first_id", F.col("id").alias("dup_id"))
-        out = durable(single.unionByName(copies), "restated")
-        self._write_run(self._signed(fresh), 0)
-        for df in kept:
-            df.unpersist()
-        for path in spent:
+        return _pairs(*self.decide(batch))
+
+    def _write_run(self, signed: DataFrame, level: int) -> None:
+        path = fresh_path(self.spark, f"run{level}")
+        order = ["tree", "key", "code"]
+        rows = signed.select("key", "code", "id", "day", "amount", "tree").repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.partitionBy("tree").option("parquet.block.row.count.limit", GROUP_ROWS).parquet(path)
+        self.runs.append((level, path))
+        same = [r for r in self.runs if r[0] == level]
+        if len(same) == FAN_IN:
+            merged = reduce(DataFrame.unionByName, (self.spark.read.schema(_RUN).parquet(p) for _, p in same))
+            self.runs = [r for r in self.runs if r not in same]
+            self._write_run(merged, level + 1)
+            for _, p in same:
+                remove(self.spark, p)
+
+    def close(self) -> None:
+        """Remove everything the index has written."""
+        for path in [*self.spent, *(p for _, p in self.runs)]:
             remove(self.spark, path)
-        return out
+        self.spent, self.runs = [], []
 
 
-_ROUND = "id long, key string, day int, amount double, verdict int"
-_RUN = "tree int, block int, key string, code long, id long, day int, amount double"
-_RUN_COLUMNS = [c.split()[0] for c in _RUN.split(", ")]
+def _usable(batch: DataFrame) -> DataFrame:
+    """(id, key, day, amount) of the rows that have all of them, the amount's sign before the key."""
+    finite = F.col("amount").isNotNull() & ~F.isnan("amount") & (F.abs("amount") < float("inf"))
+    rows = batch.select("id", "key", F.col("day").cast("int").alias("day"), F.col("amount").cast("double").alias("amount"))
+    rows = rows.filter(F.col("id").isNotNull() & F.col("key").isNotNull() & F.col("day").isNotNull() & finite)
+    # -0.0 and 0.0 are one value
+    return rows.withColumns({"key": F.concat_ws("|", F.signum("amount").cast("int").cast("string"), "key"), "amount": F.col("amount") + F.lit(0.0)})
+
+
+def _pairs(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """(first_id, dup_id) of rows. A row of a value that is accepted restates it, one of a duplicate what that restates.
+
+    What a value restates is the same in each batch it comes in: accepted entries are never taken back, and later ones
+    have larger ids.
+    """
+    known = values.groupBy("key", "day", "amount").agg(F.min(F.coalesce("first", "id")).alias("first_id"))
+    return rows.join(known, ["key", "day", "amount"]).filter(F.col("id") != F.col("first_id")).select("first_id", F.col("id").alias("dup_id"))
 
 
-def restated(df: DataFrame, batch_column: str, days: int = 1, rate: float = 0.005, increments: int | None = None) -> DataFrame:
-    """(first_id, dup_id) of all batches of ``df``, added to a new index in the order of ``batch_column``.
+def restated(df: DataFrame, batch_column: str, days: int = 1, rate: float = 0.005, recall: float = 1.0) -> DataFrame:
+    """(first_id, dup_id) of all batches of ``df``, added one by one to a new index in the order of ``batch_column``.
 
     ``df`` has id, key, day and amount as :meth:`HistoryIndex.add` wants them, ids rising with batches. What is decided
-    about an entry depends on those with smaller ids only. Batches are added one by one; with ``increments``, all but the
-    last so many are loaded in one step before, as one does with a history that is there already. Rows without a batch
-    are left out.
+    about an entry depends on those with smaller ids only. Rows without a batch are left out.
     """
-    index = HistoryIndex(df.sparkSession, days, rate)
-    numbers = sorted(r[0] for r in df.select(batch_column).filter(F.col(batch_column).isNotNull()).distinct().collect())
+    spark = df.sparkSession
+    entries = df.select(F.col(f"`{batch_column}`").alias("__batch"), "id", "key", "day", "amount").filter(F.col("__batch").isNotNull())
+    path = fresh_path(spark, "batches")
+    # each batch is a folder, so that it is read alone
+    entries.write.partitionBy("__batch").parquet(path)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entries.schema if f.name != "__batch")
+    entries = spark.read.schema(f"{kinds}, __batch {entries.schema['__batch'].dataType.simpleString()}").parquet(path)
+    numbers = sorted(r[0] for r in entries.select("__batch").distinct().collect())
     if not numbers:
-        return df.sparkSession.createDataFrame([], "first_id long, dup_id long")
-    cut = 0 if increments is None else max(0, len(numbers) - increments)
-    parts = [index.add(df.filter(F.col(batch_column) <= numbers[cut - 1]))] if cut else []
-    parts += [index.add(df.filter(F.col(batch_column) == n)) for n in numbers[cut:]]
-    for _, path in index.runs:
-        remove(df.sparkSession, path)
-    return reduce(DataFrame.unionByName, parts)
+        return spark.createDataFrame([], "first_id long, dup_id long")
+    index = HistoryIndex(spark, days, rate, recall)
+    for n in numbers:
+        index.decide(entries.filter(F.col("__batch") == n).drop("__batch"))
+    values = spark.read.schema(_DECIDED).parquet(*(p for p in index.spent if "/decided-" in p))
+    out = durable(_pairs(_usable(entries), values), "restated")
+    index.close()
+    remove(spark, path)
+    return out

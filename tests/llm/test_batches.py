@@ -11,8 +11,8 @@ def test_each_batch_meets_the_stored_index(spark, monkeypatch):
     rows = [(i * n // 120, i, rng.choice("kl"), 730000 + rng.randint(0, 40), rng.choice([1.0, 1.004, 1.01, 2.0])) for i in range(120)]
     df = spark.createDataFrame(rows, "batch int, id long, key string, day int, amount double")
     added, levels = [], []
-    add, write = HistoryIndex.add, HistoryIndex._write_run
-    monkeypatch.setattr(HistoryIndex, "add", lambda self, batch: (added.append(len(self.runs)), add(self, batch))[1])
+    add, write = HistoryIndex.decide, HistoryIndex._write_run
+    monkeypatch.setattr(HistoryIndex, "decide", lambda self, batch: (added.append(len(self.runs)), add(self, batch))[1])
     monkeypatch.setattr(HistoryIndex, "_write_run", lambda self, signed, level: (levels.append(level), write(self, signed, level))[1])
     got = {tuple(r) for r in restated(df, "batch").collect()}
     accepted, expected = [], set()
