@@ -34,7 +34,7 @@ GIVEN = frozenset(
     pierre priya rachel rebecca rene richard robert rosa ruth samuel sandra sarah sebastien simon sofia sophie stephanie steven susan sylvie theo theresa thomas
     valerie victor victoria vincent wei william xavier yasmin yves zoe""".split()
 )
-# Words that stand in names of firms, funds, documents and places, not of people.
+# Words that stand in names of firms, funds, documents and places more than in those of people: a hint.
 OTHER = frozenset(
     """fund funds etf trust company index indices group benchmark exchange services service board commission securities bond equity income dividend bank capital corp
     corporation inc ltd llc limited partners holdings association agency authority department office desk plan series class portfolio total select global growth value
@@ -44,7 +44,7 @@ OTHER = frozenset(
     press release notice filing form review queue item transcript letter distribution history record payable date amount ex-date record market data note gold tax return notice
     united states canada québec quebec ontario""".split()
 )
-# Words that begin sentences or head texts and are part of no name.
+# Words that begin sentences or head texts: a hint.
 BREAKING = frozenset(
     """the a an of this that these those and or if when while after before under over for from to in on at by with as is it its was were be not no
     le la les un une des du de et ou si à au aux par pour sur dans sous hors tandis que pendant comme lorsque selon vu après avant chez date
@@ -52,19 +52,38 @@ BREAKING = frozenset(
     us ca usd cad nav cusip cik sin ssn nas id url html pdf form etf fund trust
     dear reviewer moderator operator beneficiary requester phone mail fax text call cheques deliveries return reply questions please signed signé copie écrire retourner composer joint per
     we our your you he she they
-    january february march april june july august september october november december
-    janvier février mars avril mai juin juillet août septembre octobre novembre décembre
     monday tuesday wednesday thursday friday saturday sunday""".split()
 )
+# Months, of which some are given names.
+MONTHS = frozenset(
+    """january february march april may june july august september october november december
+    janvier fevrier mars avril mai juin juillet aout septembre octobre novembre decembre""".split()
+)
 # Forms of address.
-TITLES = frozenset("mr mrs ms miss mx dr prof sir me m mm mme mmes mlle monsieur madame mademoiselle docteur maître professor".split())
+TITLES = frozenset("mr mrs ms miss mx dr prof sir me m mm mme mmes mlle monsieur madame mademoiselle docteur maître maitre professor".split())
+
+
+
+def _class_of(*categories: str) -> str:
+    """The members of Unicode categories in the basic plane, as ranges of a pattern's character class."""
+    members = [c for c in range(0x10000) if unicodedata.category(chr(c)) in categories]
+    begins = [c for i, c in enumerate(members) if not i or members[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(members) if i == len(members) - 1 or members[i + 1] != c + 1]
+    return "".join(f"\\u{x:04x}-\\u{y:04x}" for x, y in zip(begins, ends))
 
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿŒœŸ"
-_UPPER = "A-ZÀ-ÖØ-ÞŒŸ"
-_WORD = rf"[{_UPPER}](?:[{_LETTER}'’]*[{_LETTER}])?(?:-[{_UPPER}][{_LETTER}'’]*[{_LETTER}])*"
-_INITIALS = rf"(?:[{_UPPER}]\.[  ]?){{1,3}}"
-_TOKEN = re.compile(rf"(?=[{_UPPER}])(?<![\w@/.’'-])(?:(?P<i>{_INITIALS})(?=[  ]?[{_UPPER}])|(?P<w>{_WORD})(?![\w@/]|[’'-]\w))")
-_GAP = re.compile(r"[    ]+|[ \t ]*\r?\n[ \t ]*|[  ]*,[  \n]")
+
+# of all scripts that have capitals; marks, as names may be written with combining accents
+_UPPER = _class_of("Lu", "Lt")
+_LETTER = _class_of("Lu", "Lt", "Ll", "Lm", "Lo", "Mn")
+# Words in small letters between the parts of a family name.
+PARTICLES = "de la le les du des da das do dos di del della den der van von vom zu zum zur ter ten te af av al el bin ibn ben abu y e".split()
+_B = "[ \\t\xa0\u2009\u202f]"
+_WORD = rf"[{_UPPER}](?:[{_LETTER}'’]*[{_LETTER}])?(?:-[{_LETTER}][{_LETTER}'’]*[{_LETTER}])*"
+_INITIALS = rf"(?:[{_UPPER}]\.(?:-[{_UPPER}]\.)?[ \xa0]?){{1,3}}"
+_TOKEN = re.compile(rf"(?=[{_UPPER}])(?:(?<![\w@/.’'-])|(?<=\b[dlDL]['’]))(?:(?P<i>{_INITIALS})(?=[ \xa0]?(?:[{_UPPER}]|(?:{'|'.join(PARTICLES)})[ \xa0]))|(?P<w>{_WORD})(?![\w@/]|[’'-]\w))")
+_WHITE = " \t\xa0\u2009\u202f\r\n"
+_PARTICLE_HEADS = frozenset(p[0] for p in PARTICLES)
+_PARTICLE_GAP = re.compile(rf"(?:{_B}|\r?\n)*(?P<p>(?:(?:{'|'.join(PARTICLES)})(?:{_B}|\r?\n)+){{1,3}}(?:[dl]['’])?|[dl]['’])")
 
 _SEP = r"[  .\-‐-–]"
 _PHONE = (
@@ -79,7 +98,6 @@ _NUMBERS = {
 _EXTENSION = re.compile(r"[  ]*,?[  ]*(?:ext\.?|x|poste|extension)[  ]*\d{1,6}\b", re.IGNORECASE)
 
 _AT = re.compile(r"@|[(\[{][ ]?(?:at|arobase|chez|à)[ ]?[)\]}]|(?<=[ \n])(?:at|arobase)(?=[ \n]+[\w-]+(?:[ \n]+(?:dot|point)[ \n]+[\w-]+)+)", re.IGNORECASE)
-_LOCAL = re.compile(r"[\w.+%'-]+(?P<gap>[ \n]?)$")
 _DOT = r"(?:\.|[ ]?[(\[{][ ]?(?:dot|point)[ ]?[)\]}][ ]?|[ \n]+(?:dot|point)[ \n]+)"
 _DOMAIN = re.compile(rf"[ \n]*[^\W_][\w-]*(?:{_DOT}[^\W_][\w-]*)+", re.IGNORECASE)
 
@@ -89,7 +107,7 @@ _S = r"[  \n]+"
 _HOUSE = rf"\d{{1,6}}[A-Za-z]?(?:[ ]?[-–/][ ]?\d{{1,6}}[A-Za-z]?)?(?:{_S}(?:bis|ter))?"
 _WAY = rf"(?P<type>(?:{_TYPES}|{_TYPES.upper()})(?![{_LETTER}])\.?)"
 _DIRECTION = rf"(?:(?:[NSEWO]\.?|[NS][EW]\.?|North|South|East|West|NORTH|SOUTH|EAST|WEST){_S})?"
-_NAMED = rf"(?:[{_UPPER}][\w'’.-]*{_S}){{1,4}}?{_WAY}"
+_NAMED = rf"(?:(?:\d{{1,4}}(?:st|nd|rd|th|ST|ND|RD|TH)|[{_UPPER}][\w'’.-]*){_S}){{1,4}}?{_WAY}"
 _VOIE = rf"(?:{_VOIES}|{_VOIES.upper()}|{_VOIES.title().replace('[É', '[é')})(?![{_LETTER}]){_S}(?:(?:de{_S}la|de|du|des|la|le|les|DE{_S}LA|DE|DU|DES|LA|LE|LES){_S}|(?:de{_S})?[lLdD]['’])?[{_UPPER}][\w'’-]*(?:{_S}[{_UPPER}][\w'’-]*)?"
 _STREET = re.compile(rf"(?=\d)(?<![\w.,/$-])(?P<house>{_HOUSE})[ ]?,?{_S}(?:{_DIRECTION}{_NAMED}|{_VOIE})")
 _UNIT = rf"(?:[ ]?,?{_S}(?:Apt|Apartment|Suite|Ste|Unit|app|appt|bureau|bur|unit[ée])\.?{_S}\#?\w+|[ ]?,?{_S}\#[ ]?\w+)"
@@ -105,23 +123,36 @@ def folded(word: str) -> str:
     return low if low.isascii() else "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
 
 
-_LAST_WORDS = re.compile(r"(\S+)[  \n]+(\S+)[  \n]*$|(\S+)[  \n]*$")
-_FIRST_WORD = re.compile(r"[  \n]*(\S+)")
-
-
+@lru_cache(maxsize=200_000)
 def _tidy(word: str) -> str:
     low = folded(word.strip("\"'«»()[]{}<>*_;,"))
     return "9" if any(c.isdigit() for c in low) else low[:16]
 
 
-def around(text: str, start: int, end: int) -> tuple[str, str, str, str, str]:
-    """The two words before, the one after, and the characters that touch the segment."""
-    found = _LAST_WORDS.search(text[max(0, start - 48) : start])
-    two, one = ("", "") if not found else (found.group(1) or "", found.group(2) or found.group(3))
-    after = _FIRST_WORD.match(text[end : end + 32])
+def _words_before(text: str, start: int) -> tuple[str, str]:
+    """The two words before a place, '' for none."""
+    words = text[max(0, start - 48) : start].split()
+    return words[-2] if len(words) > 1 else "", words[-1] if words else ""
+
+
+def _word_at(text: str, end: int) -> str:
+    """The word from a place on, '' for none."""
+    words = text[end : end + 32].split(None, 1)
+    return words[0] if words else ""
+
+
+@lru_cache(maxsize=200_000)
+def _before(two: str, one: str) -> tuple[str, str]:
+    """The two words before a segment as features have them; of a sentence that ends there only that it does."""
     if one and one[-1] in ".!?" and len(one) > 3 and folded(one[:-1]) not in TITLES:
         two, one = "", "."  # whatever ended the sentence before
-    return _tidy(two), _tidy(one) if one else "^", _tidy(after.group(1)) if after else "$", text[start - 1 : start], text[end : end + 1]
+    return _tidy(two), _tidy(one) if one else "^"
+
+
+def around(text: str, start: int, end: int) -> tuple[str, str, str, str, str]:
+    """The two words before, the one after, and the characters that touch the segment."""
+    after = _word_at(text, end)
+    return *_before(*_words_before(text, start)), _tidy(after) if after else "$", text[start - 1 : start], text[end : end + 1]
 
 
 def _context(text: str, start: int, end: int, kind: str) -> list[str]:
@@ -147,21 +178,44 @@ def numbers(text: str) -> list[Candidate]:
     return out
 
 
+_LOCAL_LETTERS = frozenset(".+%'-_")
+_WRITTEN_DOT = re.compile(r"([^\W_][\w+%'-]*)(?:[ ]?[(\[{][ ]?(?:dot|point)[ ]?[)\]}][ ]?|[ \n]+(?:dot|point)[ \n]+)$", re.IGNORECASE)
+
+
+def _local_start(text: str, end: int) -> int:
+    """Where the part of an address before its at begins, with the written dots in it; ``end`` if there is none."""
+    begin = end
+    while True:
+        start = end
+        while start and (text[start - 1].isalnum() or text[start - 1] in _LOCAL_LETTERS):
+            start -= 1
+        # a mark at the beginning belongs to what is before
+        while start < end and text[start] in _LOCAL_LETTERS and text[start] != "_":
+            start += 1
+        if start == end:
+            return begin
+        begin = start
+        dot = _WRITTEN_DOT.search(text, max(0, start - 64), start)
+        if dot is None:
+            return begin
+        end = dot.end(1)
+
+
 def emails(text: str) -> list[Candidate]:
     out = []
     for m in _AT.finditer(text):
-        local = _LOCAL.search(text[max(0, m.start() - 80) : m.start()])
-        domain = _DOMAIN.match(text, m.end(), m.end() + 160)
-        if local is None or domain is None:
+        domain = _DOMAIN.match(text, m.end())
+        if domain is None:
             continue
-        body = local.group().rstrip()
-        skip = len(body) - len(body.lstrip(".+-'%"))
-        if skip == len(body) or (m.group() == "@" and not local.group("gap") and text[m.end() : m.end() + 1].isspace() and "." not in domain.group()):
+        gap = m.start() > 0 and text[m.start() - 1] in " \n"
+        if m.group() == "@" and not gap and text[m.end() : m.end() + 1].isspace() and "." not in domain.group():
             continue
-        start = m.start() - len(local.group()) + skip
-        kind = "EMAIL"
-        how = "@" if m.group() == "@" else "()" if not m.group().isalpha() else "word"
-        out.append(Candidate(start, domain.end(), kind, (*_context(text, start, domain.end(), kind), f"{kind}|at={how}", f"{kind}|gap={bool(local.group('gap'))}")))
+        end = m.start() - gap
+        start = _local_start(text, end)
+        if start < end:
+            kind = "EMAIL"
+            how = "@" if m.group() == "@" else "()" if not m.group().isalpha() else "word"
+            out.append(Candidate(start, domain.end(), kind, (*_context(text, start, domain.end(), kind), f"{kind}|at={how}", f"{kind}|gap={gap}")))
     return out
 
 
@@ -181,102 +235,197 @@ def addresses(text: str) -> list[Candidate]:
     return out
 
 
-def _runs(text: str) -> list[list[tuple[int, int, str, bool, bool]]]:
-    """Maximal runs of capitalised words and initials: (start, end, word, initials?, after a comma?)."""
-    runs: list[list[tuple[int, int, str, bool, bool]]] = []
-    current: list[tuple[int, int, str, bool, bool]] = []
+class Token(NamedTuple):
+    """A capitalised word or initials in a run. ``after``: what stands before it there, "" for blanks, "," or "p" for particles."""
+
+    start: int
+    end: int
+    word: str
+    kind: str
+    after: str
+    particles: int  # where the particles before it begin
+
+
+@lru_cache(maxsize=100_000)
+def _kind(word: str) -> str:
+    """G, a common given name; M, a month; B, a word that begins sentences; O, one of firms and places; T, a form of address; else W."""
+    low = folded(word)
+    if low in GIVEN or low.split("-")[0] in GIVEN:
+        return "G"
+    if low.rstrip(".") in TITLES:
+        return "T"
+    plain = word.lower()
+    return "M" if low in MONTHS else "B" if low in BREAKING or plain in BREAKING else "O" if low in OTHER or plain in OTHER else "W"
+
+
+def _runs(text: str) -> list[list[Token]]:
+    """Maximal runs of capitalised words and initials, with particles, or once a comma, between them."""
+    runs: list[list[Token]] = []
+    current: list[Token] = []
     for m in _TOKEN.finditer(text):
-        word = m.group()
         start, initials = m.start(), m.group("i") is not None
-        comma = False
+        word = m.group().rstrip()
+        after, particles = "", start
         if current:
-            between = text[current[-1][1] : start]
-            joined = between == "" or between == " " or _GAP.fullmatch(between) is not None
-            comma = "," in between
-            if not joined or len(current) > 1 and comma and current[-1][4]:
+            end = current[-1].end
+            between = text[end:start]
+            if between != " ":
+                core = between.strip(_WHITE)
+                if core == ",":
+                    after = "|" if current[-1].after == "," or between[-1:] == "," else ","
+                elif core:
+                    found = _PARTICLE_GAP.fullmatch(between) if core[0] in _PARTICLE_HEADS and len(core) < 24 else None
+                    after, particles = ("p", end + found.start("p")) if found else ("|", start)
+                elif between.count("\n") > 1:
+                    after = "|"
+            if after == "|":
                 runs.append(current)
-                current, comma = [], False
-        if not initials and word.lower() in BREAKING:
-            if current:
-                runs.append(current)
-            current = []
-            continue
-        end = m.end()
-        if initials:
-            end -= len(word) - len(word.rstrip())
-        current.append((start, end, word.rstrip(), initials, comma))
+                current, after = [], ""
+        current.append(Token(start, start + len(word), word, "I" if initials else _kind(word), after, particles))
     if current:
         runs.append(current)
     return runs
 
 
 @lru_cache(maxsize=100_000)
-def _token_features(word: str) -> tuple[str, ...]:
-    low = folded(word)
-    parts = low.split("-")
-    out = ["G" if low in GIVEN or parts[0] in GIVEN else "O" if low in OTHER else "T" if low.rstrip(".") in TITLES else "W"]
-    out.append("C" if word.isupper() and len(word) > 1 else "c")
-    return tuple(out)
+def _case(word: str) -> str:
+    """Whether a word is in capitals: C, c, or - for none or a number."""
+    return "C" if word.isupper() and len(word) > 1 and word.isalpha() else "c" if any(ch.islower() for ch in word) else "-"
 
 
-def _case(text: str, start: int, end: int) -> str:
-    """Whether the words on both sides are in capitals, too: C, c, or - for none or a number."""
-    sides = (_LAST_WORDS.search(text[max(0, start - 24) : start]), _FIRST_WORD.match(text[end : end + 24]))
-    found = [m.group(m.lastindex) if m else "" for m in sides]
-    return "".join("C" if w.isupper() and len(w) > 1 and w.isalpha() else "c" if any(ch.islower() for ch in w) else "-" for w in found)
+class Floor:
+    """The least that a name's score can be and still count in a best labelling, and what features not yet known could add.
 
+    Leaving out a candidate costs its own score and its links' and may add a link of those beside it, so one below the
+    least is on no best path, and leaving it out of the lattice changes no result.
+    """
 
-def names(text: str) -> list[Candidate]:
-    kind = "NAME"
-    out = []
+    def __init__(self, weights: dict[str, float]) -> None:
+        links = [w for f, w in weights.items() if ">" in f and "|" not in f]
+        self.weights = weights
+        self.least = min([0.0, *links]) - 2 * max([0.0, *links])
+        best: dict[str, float] = {}
+        for f, w in weights.items():
+            family = f.split("=")[0]
+            best[family] = max(best.get(family, 0.0), w)
+        self.rest = sum(best.get(f"N|{family}", 0.0) for family in ("pn", "around", "lr", "lc"))
+
+    @lru_cache(maxsize=100_000)
+    def score(self, *features: str) -> float:
+        return sum(self.weights.get(f, 0.0) for f in features)
+
+    def excludes(self, *parts: tuple[str, ...]) -> bool:
+        return sum(self.score(*p) for p in parts) + self.rest < self.least
+
+
+#: Capitalised words and initials of a name, at most.
+LONGEST = 7
+
+
+@lru_cache(maxsize=100_000)
+def _form(shape: str, title: bool, monsieur: bool, caps: str, left: str, right: str, size: int, broken: bool) -> tuple[str, ...]:
+    """The features of a name that need no look around it."""
+    return (
+        "NAME", f"N|shape={shape}", f"N|title={title}", f"N|shape={shape}|title={title}", f"N|M={monsieur}", f"N|caps={caps}", f"N|more={left}{right}", f"N|more={left}{right}|{shape}",
+        f"N|size={size}", f"N|first={shape[0]}", f"N|last={shape[-1]}", *(f"N|has={k}" for k in sorted(set(shape))), f"N|nl={broken}",
+    )
+
+
+@lru_cache(maxsize=100_000)
+def _word_before(two: str, one: str) -> tuple[str, ...]:
+    return f"N|p={one}", f"N|pp={two} {one}"
+
+
+@lru_cache(maxsize=100_000)
+def _word_after(word: str) -> tuple[str, ...]:
+    return (f"N|n={word}",)
+
+
+def names(text: str, floor: Floor | None = None) -> list[Candidate]:
+    """Stretches of runs, and given names in small letters with the word after them. ``floor``: leaves out what can't be chosen."""
+    out = _lower_names(text)
     for run in _runs(text):
         n = len(run)
-        for i in range(n):
-            first = run[i]
-            title = i > 0 and folded(run[i - 1][2]) in TITLES and not first[4]
-            dotted = text[max(0, first[0] - 12) : first[0]]
-            if not title and dotted[-2:] in (". ", ". ", ".\n"):
-                before = re.search(rf"(?<![\w.])([{_LETTER}]+)\.[  \n]$", dotted)
-                title = before is not None and folded(before.group(1)) in TITLES
-            for j in range(i + 1, min(n, i + 4) + 1):
-                part = run[i:j]
-                if part[-1][3]:
+        rights: dict[int, tuple[str, str, str]] = {}
+        for i, first in enumerate(run):
+            start = first.start
+            title = i > 0 and run[i - 1].kind == "T" and first.after != ","
+            if title and first.after == "p":
+                start = first.particles
+            mark = ""
+            if not title and text[start - 1 : start] in _BLANKS and text[start - 2 : start - 1] == ".":
+                words = text[max(0, start - 16) : start - 2].split()
+                mark = words[-1] if words else ""
+                title = folded(mark.strip(_OPENING)) in TITLES
+            if n == 1 and not title:
+                continue
+            monsieur = first.word == "M." or title and mark[-1:] in ("M", "m")
+            left_kind = run[i - 1].kind if i and first.after != "," else "-"
+            left: tuple | None = None
+            shape, caps, commas = "", "", 0
+            for j in range(i + 1, min(n, i + LONGEST) + 1):
+                last = run[j - 1]
+                if j > i + 1:
+                    if last.after == ",":
+                        commas += 1
+                        # a comma may stand once, after the first word
+                        if j > i + 2 or commas > 1:
+                            break
+                    shape += last.after
+                shape += last.kind
+                if last.kind != "I":
+                    caps += "C" if last.word.isupper() and len(last.word) > 1 else "c"
+                if last.kind == "I" or (j == i + 1 and not title):
                     continue
-                if len(part) == 1 and not title:
+                right = run[j] if j < n else None
+                right_kind = right.kind if right and right.after != "," else "-"
+                end = last.end
+                form = _form(shape, title, monsieur, caps, left_kind, right_kind, j - i, "\n" in text[start:end])
+                if left is None:
+                    words = _words_before(text, start)
+                    left = (*_before(*words), text[start - 1 : start].strip(), _case(words[1]))
+                if j not in rights:
+                    word = _word_at(text, end)
+                    rights[j] = (_tidy(word) if word else "$", text[end : end + 1].strip(), _case(word))
+                two, one, beside, left_case = left
+                after, beyond, right_case = rights[j]
+                before_it, after_it = _word_before(two, one), _word_after(after)
+                if floor is not None and floor.excludes(form, before_it, after_it):
                     continue
-                # a comma may stand once, after the first word
-                if any(t[4] for t in part[2:]):
-                    break
-                tokens = [_token_features(t[2]) if not t[3] else ("I", "C") for t in part]
-                if any(t[0] in "OT" for t in tokens):
-                    break
-                start, end = part[0][0], part[-1][1]
-                comma = len(part) > 1 and part[1][4]
-                shape = "".join(t[0] for t in tokens) + ("," if comma else "")
-                caps = "".join(t[1] for t in tokens if t[0] != "I")
-                two, one, after, left, right = around(text, start, end)
-                more_left = i > 0 and not part[0][4]
-                more_right = j < n and not run[j][4]
-                out.append(
-                    Candidate(
-                        start,
-                        end,
-                        kind,
-                        (
-                            kind, f"N|shape={shape}", f"N|title={title}", f"N|shape={shape}|title={title}", f"N|M={part[0][2] == 'M.'}{title and dotted[-3:-2] == 'M'}", f"N|caps={caps}", f"N|p={one}", f"N|pp={two} {one}", f"N|n={after}", f"N|p={one}|n={after}",
-                            f"N|around={_case(text, start, end)}|{caps}", f"N|more={more_left:d}{more_right:d}", f"N|more={more_left:d}{more_right:d}|{shape}", f"N|lr={'' if left.isspace() else left}|{'' if right.isspace() else right}",
-                            f"N|lc={run[i - 1][2].isupper() if more_left else '-'}{run[j][2].isupper() if more_right else '-'}|{caps}", f"N|nl={text.find(chr(10), start, end) >= 0}",
-                        ),
-                    )
+                more = (
+                    f"N|pn={one}|{after}", f"N|around={left_case}{right_case}|{caps}", f"N|lr={beside}|{beyond}",
+                    f"N|lc={run[i - 1].word.isupper() if left_kind != '-' else '-'}{right.word.isupper() if right_kind != '-' else '-'}|{caps}",
                 )
+                out.append(Candidate(start, end, "NAME", (*form, *before_it, *after_it, *more)))
+    return out
+
+
+_BLANKS = (" ", "\xa0", "\n")
+_OPENING = "\"'([{<«“‘*_-–—:;,/>"
+# Given names that are also words written small.
+WORDS_TOO = frozenset("mark grace frank jack carol rosa florence victor page chase drew dean".split()) & GIVEN
+_SMALL = re.compile(r"(?<![\w@/.’-])(?<!-\n)[a-z]{3,}(?:-[a-z]+)?(?![\w@/’'-])")
+_SMALL_REST = re.compile(rf"(?:[ \xa0][a-z]\.)?[ \xa0]((?:(?:{'|'.join(PARTICLES)})[ \xa0])*[^\W\d_A-Z][^\W\d_A-Z'’]+(?:-[^\W\d_A-Z]+)*)(?![\w@/])")
+
+
+def _lower_names(text: str) -> list[Candidate]:
+    """Given names written small, with the word after them."""
+    out: list[Candidate] = []
+    words = text.split()
+    if GIVEN.isdisjoint(words) and GIVEN.isdisjoint([w.lstrip(_OPENING) for w in words if w[0] in _OPENING]):
+        return out  # most texts, and without a pattern
+    for m in _SMALL.finditer(text):
+        if m.group() in GIVEN and (rest := _SMALL_REST.match(text, m.end())) is not None:
+            two, one, after, _, _ = around(text, m.start(), rest.end())
+            kind = _kind(rest.group(1).split()[-1])
+            features = ("NAME", "S", f"S|given={m.group()}", f"S|word={m.group() in WORDS_TOO}|{kind}", f"S|family={folded(rest.group(1))[:16]}", f"S|kind={kind}", f"S|p={one}", f"S|pp={two} {one}", f"S|n={after}")
+            out.append(Candidate(m.start(), rest.end(), "NAME", features))
     return out
 
 
-def candidates(text: str) -> list[Candidate]:
-    """All candidates of a text, sorted by start and end."""
-    out = names(text) + numbers(text) + addresses(text)
-    if "@" in text or "at" in text or "arobase" in text:
-        out += emails(text)
+def candidates(text: str, floor: Floor | None = None) -> list[Candidate]:
+    """All candidates of a text, sorted by start and end. ``floor``: without names that can't be chosen, see :class:`Floor`."""
+    out = names(text, floor) + numbers(text) + addresses(text) + emails(text)
     out.sort(key=lambda c: (c.start, c.end))
     return out
 
