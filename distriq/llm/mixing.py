@@ -1,13 +1,14 @@
 """Mixing sources to target weights.
 
 Each source's documents, in a fixed order, make one long run of tokens, cut into blocks of a fixed length. The mixture
-is a number of output shards of equally many slots. How many slots of a shard go to each source is drawn multinomially,
-given the totals that meet the weights, so that shares and caps hold exactly and shards still differ by chance. Slot k
-of a source is block p(k mod n) where p is a pseudorandom permutation of the source's n blocks, another one for each
-time around; so no block is used more often than times around. Slots and documents meet in a join on the block.
+is a number of output shards of equally many slots. How many slots of a shard go to each source is a multinomial draw;
+its probabilities are what each source still lacks of its share when the shard is drawn, so shards differ by chance and
+the shares of the whole stay within one shard's chance of the weights. Slot k of a source is block p(k mod n) where p is
+a pseudorandom permutation of the source's n blocks, another one for each time around; so no block is used more often
+than times around. Slots and documents meet in a join on the block.
 
 The total is the largest for which no source has to be repeated beyond its cap: the source that is scarcest for its
-weight is used up fully.
+weight is used up but for chance.
 """
 
 from __future__ import annotations
@@ -91,62 +92,99 @@ def permuted(i: np.ndarray, n: np.ndarray, seed: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
-@F.pandas_udf(T.LongType())
-def _permuted(i: pd.Series, n: pd.Series, seed: pd.Series) -> pd.Series:
-    return pd.Series(permuted(i.to_numpy(), n.to_numpy(), seed.to_numpy()))
+#: Slots of a shard, at most, unless there are more than MOST_SHARDS; and shards, if there is enough to draw for each.
+SHARD_SLOTS, FEWEST_SHARDS, MOST_SHARDS = 65_536, 64, 4096
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Slots of each source in total, and of each shard and source with the number of the first one."""
+    """What was drawn: ``counts[shard, source]`` slots, the first of each shard's in the order of ``names``."""
 
-    slots: dict[str, int]
-    shards: list[tuple[int, str, int, int]]
+    names: list[str]
+    counts: np.ndarray
 
+    @property
+    def slots(self) -> dict[str, int]:
+        return dict(zip(self.names, self.counts.sum(0).tolist()))
 
-def plan_slots(supply: dict[str, int], block_tokens: int, weights: dict[str, float], caps: dict[str, int], shards: int, seed: int) -> Plan:
-    """Totals in the proportion of the weights, as large as caps allow, and their multinomial split over the shards.
+
+def draw_slots(supply: dict[str, int], block_tokens: int, weights: dict[str, float], caps: dict[str, int], shards: int | None, seed: int) -> Plan:
+    """The sources' slots in each shard, drawn multinomially.
 
     ``supply``: tokens of each source. A slot counts as the mean size of its source's blocks, of which the last may be
     short. Sources without tokens, weight or permitted use get no slots; the other weights then count as if they summed
-    to 1.
+    to 1. A draw beyond a source's cap is cut there, and the slots go to the sources that lack most. ``shards``: as many
+    as the total asks for if None. The table has as many entries as there are shards and sources, whatever the data.
     """
     names = sorted(s for s, w in weights.items() if supply.get(s, 0) > 0 and w > 0 and caps.get(s, 0) > 0)
     if not names:
-        return Plan({}, [])
+        return Plan([], np.zeros((0, 0), np.int64))
     whole = sum(weights[s] for s in names)
     blocks = {s: -(-supply[s] // block_tokens) for s in names}
     total = min(supply[s] * caps[s] * whole / weights[s] for s in names)
-    slots = {s: min(blocks[s] * caps[s], round(total * weights[s] / whole * blocks[s] / supply[s])) for s in names}
-    rng, left = np.random.default_rng(seed), np.array([slots[s] for s in names], np.int64)
-    shards = max(1, min(shards, int(left.sum())))
-    out, begun = [], dict.fromkeys(names, 0)
+    most = np.array([blocks[s] * caps[s] for s in names], np.int64)
+    wanted = np.minimum(most, np.rint([total * weights[s] / whole * blocks[s] / supply[s] for s in names]).astype(np.int64))
+    every = int(wanted.sum())
+    if shards is None:
+        shards = min(MOST_SHARDS, max(FEWEST_SHARDS, -(-every // SHARD_SLOTS)))
+    shards = max(1, min(shards, every))
+    rng, drawn = np.random.default_rng(seed), np.zeros(len(names), np.int64)
+    counts = np.zeros((shards, len(names)), np.int64)
     for shard in range(shards):
-        room = int(left.sum()) // (shards - shard)
-        # a multinomial draw under the condition that the shards' draws sum to the totals
-        drawn = rng.multivariate_hypergeometric(left, room, method="marginals") if shard < shards - 1 else left.copy()
-        left = left - drawn
-        for s, n in zip(names, drawn.tolist()):
-            if n:
-                out.append((shard, s, begun[s], n))
-                begun[s] += n
-    return Plan(slots, out)
+        size = every * (shard + 1) // shards - every * shard // shards
+        lacking = np.maximum(wanted - drawn, 0)
+        if not lacking.sum():
+            break
+        here = np.minimum(rng.multinomial(size, lacking / lacking.sum()), most - drawn)
+        while (left := size - int(here.sum())) > 0 and (room := most - drawn - here).any():
+            at = int(np.argmax(np.where(room > 0, wanted - drawn - here, np.iinfo(np.int64).min)))
+            here[at] += min(left, int(room[at]), max(1, int((wanted - drawn - here)[at])))
+        counts[shard] = here
+        drawn += here
+    return Plan(names, counts)
+
+
+_SLOT = "shard int, source_no int, block long"
+
+
+def _slot_places(plan: Plan, blocks: list[int], seed: int):
+    """A pandas UDF from the number of a slot to its shard, source and block; what was drawn goes with the function."""
+    flat = plan.counts.ravel()
+    begins = np.concatenate([[0], np.cumsum(flat)])  # of each shard and source among all slots
+    own = np.concatenate([np.zeros((1, len(plan.names)), np.int64), np.cumsum(plan.counts, axis=0)])[:-1].ravel()  # among the source's
+    sizes, n = np.array(blocks, np.int64), len(plan.names)
+
+    @F.pandas_udf(_SLOT)
+    def place(slots: pd.Series) -> pd.DataFrame:
+        slot = slots.to_numpy()
+        # of places with equal beginnings all but the last are empty
+        at = np.searchsorted(begins, slot, "right") - 1
+        shard, source = at // n, at % n
+        k = own[at] + slot - begins[at]
+        around = k // sizes[source]
+        salt = (np.uint64(seed) * np.uint64(1_000_003) + source.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) ^ (around.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
+        return pd.DataFrame({"shard": shard.astype(np.int32), "source_no": source.astype(np.int32), "block": permuted(k % sizes[source], sizes[source], salt)})
+
+    return place
 
 
 @dataclass(frozen=True)
 class Mixture:
     documents: DataFrame
     shares: DataFrame
+    blocks: DataFrame
 
 
-def mix(documents: DataFrame, targets: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_tokens: int = 256, shards: int = 64, seed: int = 7) -> Mixture:
+def mix(documents: DataFrame, targets: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", source: str = "source", block_tokens: int = 256, shards: int | None = None, seed: int = 7) -> Mixture:
     """The mixture of ``documents`` that meets ``targets`` (source, target_weight, max_repeats; few rows).
 
-    ``documents`` of the result: doc_id, source, n_tokens, repeats (the most that any of its blocks is used, so at most
-    max_repeats), used_tokens (over all uses; a document lies in several blocks, and of its first and last its own part
-    counts), blocks. One row per document used. ``shares``: source, target_weight, max_repeats, supply_tokens,
-    used_tokens, actual_share, most_repeats, documents; one row per source of ``targets`` and of ``documents``, with
-    weight 0 if it isn't in ``targets``.
+    ``blocks`` of the result is the mixture itself: shard, slot (from 0 in the whole mixture, in the order of shards),
+    source, block, doc_id, begin (the piece's first token in its document, from 0) and tokens; one row per piece of a
+    document in a slot's block. ``documents``: doc_id, source, n_tokens, repeats (the most that any of its blocks is
+    used, so at most max_repeats), used_tokens (over all uses; a document lies in several blocks, and of its first and
+    last its own part counts), blocks, first_shard. One row per document used. ``shares``: source, target_weight,
+    max_repeats, supply_tokens, used_tokens, actual_share, most_repeats, documents; one row per source of ``targets``
+    and of ``documents``, with weight 0 if it isn't in ``targets``.
 
     Texts that are NULL or empty have no tokens and aren't chosen. A NULL source is the source ''. Repeated doc_ids are
     told apart by nothing and count as one document of all their tokens. A source's last block may be shorter. ``path``:
@@ -163,15 +201,14 @@ def mix(documents: DataFrame, targets: DataFrame, path: str, doc_id: str = "doc_
     counted = counted.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(1 + sum(r["rows"] for r in sums) // PART_ROWS)))
     parts = counted.groupBy("source", "part").agg(F.sum("n_tokens").alias("tokens"))
     wanted = [(r["name"], float(r["target_weight"] or 0), int(r["max_repeats"] or 0)) for r in targets.withColumn("name", F.coalesce(source_name(F.col("source")), F.lit(""))).collect()]
-    weights, caps = {s: w for s, w, _ in wanted}, {s: c for s, _, c in wanted}
-    blocks = {s: -(-n // block_tokens) for s, n in supply.items()}
-    plan = plan_slots(supply, block_tokens, weights, caps, shards, seed)
+    plan = draw_slots(supply, block_tokens, {s: w for s, w, _ in wanted}, {s: c for s, _, c in wanted}, shards, seed)
 
-    kinds = "shard int, source string, first long, slots long, n long, salt long"
-    rows = [(shard, s, first, n, blocks[s], seed * 1_000_003 + i) for i, s in enumerate(sorted(plan.slots)) for shard, t, first, n in plan.shards if t == s]
-    drawn = spark.createDataFrame(rows, kinds).repartition(max(1, min(shards, len(rows))), "shard", "source")
-    slot = drawn.select("source", "n", "salt", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)).alias("k"))
-    uses = slot.select("source", _permuted(F.expr("k % n"), "n", F.xxhash64("salt", F.expr("k DIV n"))).alias("block")).groupBy("source", "block").agg(F.count(F.lit(1)).alias("uses"))
+    sizes = [-(-supply[s] // block_tokens) for s in plan.names]
+    every = spark.range(int(plan.counts.sum())).withColumn("at", _slot_places(plan, sizes, seed)(F.col("id")) if plan.names else F.lit(None).cast("struct<shard:int,source_no:int,block:bigint>"))
+    name = F.get(F.array(*(F.lit(s) for s in plan.names or [""])), F.col("at.source_no"))
+    # never NULL, or the filters on NULL keys that joins add would work the places out once more
+    slots = every.select(F.col("at.shard").alias("shard"), F.col("id").alias("slot"), F.coalesce(name, F.lit("")).alias("source"), F.coalesce("at.block", F.lit(-1)).alias("block"))
+    uses = slots.groupBy("source", "block").agg(F.count(F.lit(1)).alias("uses"), F.min("shard").alias("first_shard"))
 
     # a document's place in its source: the tokens of the parts before its own, and of those before it there
     before = parts.selectExpr("source", "part", "sum(tokens) OVER (PARTITION BY source ORDER BY part) - tokens AS part_start")
@@ -179,9 +216,15 @@ def mix(documents: DataFrame, targets: DataFrame, path: str, doc_id: str = "doc_
     placed = placed.withColumn("start", F.col("part_start") + F.col("inner_start"))
     b = F.lit(block_tokens)
     pieces = placed.select("doc_id", "source", "n_tokens", "start", F.explode(F.sequence(F.expr(f"start DIV {block_tokens}"), F.expr(f"(start + n_tokens - 1) DIV {block_tokens}"))).alias("block"))
-    inside = F.least((F.col("block") + 1) * b, F.col("start") + F.col("n_tokens")) - F.greatest(F.col("block") * b, F.col("start"))
-    chosen = pieces.withColumn("inside", inside).join(uses, ["source", "block"]).groupBy("doc_id", "source", "n_tokens").agg(F.max("uses").alias("repeats"), F.sum(F.col("inside") * F.col("uses")).alias("used_tokens"), F.count(F.lit(1)).alias("blocks"))
-    return Mixture(chosen, _shares(chosen, supply, wanted))
+    begin = F.greatest(F.col("block") * b, F.col("start"))
+    inside = F.least((F.col("block") + 1) * b, F.col("start") + F.col("n_tokens")) - begin
+    pieces = pieces.withColumns({"begin": begin - F.col("start"), "tokens": inside})
+    # neither side has a bound, so neither is to be broadcast
+    chosen = pieces.join(uses.hint("merge"), ["source", "block"]).groupBy("doc_id", "source", "n_tokens").agg(
+        F.max("uses").alias("repeats"), F.sum(F.col("tokens") * F.col("uses")).alias("used_tokens"), F.count(F.lit(1)).alias("blocks"), F.min("first_shard").alias("first_shard")
+    )
+    mixture = slots.hint("merge").join(pieces, ["source", "block"]).select("shard", "slot", "source", "block", "doc_id", "begin", "tokens")
+    return Mixture(chosen, _shares(chosen, supply, wanted), mixture)
 
 
 def _shares(chosen: DataFrame, supply: dict[str, int], wanted: list[tuple[str, float, int]]) -> DataFrame:

@@ -9,7 +9,7 @@ from distriq.llm.history import restated
 from distriq.llm.leakage import leaks
 from distriq.llm.mixing import mix, tokenizer_path
 from distriq.llm.pii import find_mentions, redact
-from distriq.llm.survivor import Learned, Stated, Survivors, survivors
+from distriq.llm.survivor import Learned, Stated, Survivors, precedence, survivors, transitions
 from distriq.sources.tables import load
 
 
@@ -59,30 +59,46 @@ def _distribution(orders: list[Stated | Learned]) -> Survivors:
     return Survivors({"class_key": _folded("class_id"), "category_key": _folded("distribution_category"), "ex_day": F.col("ex_date")}, orders, "event_id", DATES)
 
 
-def _estimate_rank() -> Column:
+def _mark(otherwise: Column) -> Column:
     first = F.substring(_folded("estimated_or_final"), 1, 1)
-    return F.when(first == "F", 0).when(first == "E", 1).otherwise(2)
+    return F.when(first == "F", "final").when(first == "E", "estimated").otherwise(otherwise)
+
+
+def _fixed_orders() -> list[Stated | Learned]:
+    """Values and their transitions as learned from the rows' times; the query's definition fixes which of two is better."""
+    superseded = F.coalesce("is_superseded", F.lit(False))
+    mark = _mark(F.lit("unknown"))
+    return [
+        Learned("is_superseded", superseded, "updated_at", stated=superseded.cast("int")),
+        Learned("estimated_or_final", mark, "updated_at", stated=F.when(mark == "final", 0).when(mark == "estimated", 1).otherwise(2)),
+        Learned("source_tier", F.col("source_tier"), "updated_at", stated=F.col("source_tier")),
+        Learned("version", F.col("version"), "updated_at", stated=-F.col("version")),
+        Stated(-F.unix_micros(F.col("updated_at").cast("timestamp"))),
+    ]
 
 
 def p5_found(spark: SparkSession, directory: str) -> DataFrame:
-    """The order of every attribute is fixed for this query, so all orders are stated ones."""
     events = load(spark, directory, "distribution_event").filter(F.col("deleted_at").isNull())
-    orders = [
-        Stated(F.coalesce("is_superseded", F.lit(False)).cast("int")),
-        Stated(_estimate_rank()),
-        Stated(F.col("source_tier")),
-        Stated(-F.col("version")),
-        Stated(-F.unix_micros(F.col("updated_at").cast("timestamp"))),
-    ]
-    return survivors(events, _distribution(orders), least=2).select("event_id", *(f"{d}_from" for d in DATES)).distinct()
+    return survivors(events, _distribution(_fixed_orders()), least=2).select("event_id", *(f"{d}_from" for d in DATES)).distinct()
+
+
+def p5_precedence(spark: SparkSession, directory: str) -> DataFrame:
+    """The ranks p5_found goes by, and how many groups' steps the stated order overrules."""
+    events = load(spark, directory, "distribution_event").filter(F.col("deleted_at").isNull())
+    plan = _distribution(_fixed_orders())
+    return precedence(transitions(events, plan.keys, [o for o in plan.orders if isinstance(o, Learned)]))
 
 
 def p5_currency(spark: SparkSession, directory: str) -> DataFrame:
-    """The same groups with learned orders of mark and flag, timestamps used only to learn: as if the survivors' were missing."""
+    """The same groups with orders of mark, flag and version learned only, timestamps used only to learn: as if the survivors' were missing."""
     events = load(spark, directory, "distribution_event").filter(F.col("deleted_at").isNull())
-    marked = events.withColumn("__mark", F.nullif(F.substring(_folded("estimated_or_final"), 1, 1), F.lit("")))
-    orders = [Learned("is_superseded", "updated_at"), Learned("__mark", "updated_at"), Learned("version", "updated_at"), Stated(F.col("source_tier"))]
-    return survivors(marked, _distribution(orders), least=2).drop("records")
+    orders = [
+        Learned("is_superseded", F.col("is_superseded"), "updated_at"),
+        Learned("estimated_or_final", _mark(F.nullif(F.substring(_folded("estimated_or_final"), 1, 1), F.lit(""))), "updated_at"),
+        Learned("version", F.col("version"), "updated_at"),
+        Stated(F.col("source_tier")),
+    ]
+    return survivors(events, _distribution(orders), least=2).drop("records")
 
 
 def p6_found(spark: SparkSession, directory: str) -> DataFrame:
@@ -101,6 +117,11 @@ def p7_shares(spark: SparkSession, directory: str) -> DataFrame:
     return mix(load(spark, directory, "documents"), load(spark, directory, "mix_target"), tokenizer_path()).shares
 
 
+def p7_blocks(spark: SparkSession, directory: str) -> DataFrame:
+    """The mixture itself: what each slot of each shard holds."""
+    return mix(load(spark, directory, "documents"), load(spark, directory, "mix_target"), tokenizer_path()).blocks
+
+
 def p8_found(spark: SparkSession, directory: str) -> DataFrame:
     return find_mentions(load(spark, directory, "documents")).select("doc_id", "kind", "start_pos").distinct()
 
@@ -109,7 +130,7 @@ def p8_redacted(spark: SparkSession, directory: str) -> DataFrame:
     return redact(load(spark, directory, "documents").select("doc_id", "text")).select("doc_id", "redacted")
 
 
-QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p7_mix": p7_mix, "p7_shares": p7_shares, "p6_found": p6_found, "p6_matches": p6_matches, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency}
+QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_blocks": p7_blocks, "p6_found": p6_found, "p6_matches": p6_matches, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency, "p5_precedence": p5_precedence}
 
 _P5_SQL = """
 WITH t AS (SELECT *, upper(regexp_replace(class_id, '^\\s+|\\s+$', '', 'g')) AS c, upper(regexp_replace(distribution_category, '^\\s+|\\s+$', '', 'g')) AS k,
