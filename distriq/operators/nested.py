@@ -35,18 +35,119 @@ def _no_constant(name: str) -> None:
 
 
 def read_json(text: str | None) -> object:
-    """The value of a JSON text; raises ValueError if it isn't one (NaN and Infinity aren't JSON either)."""
+    """The value of a JSON text, however deeply nested; raises ValueError if it isn't one (NaN and Infinity aren't JSON either)."""
     if text is None:
         raise ValueError("no text")
     try:
         return json.loads(text, parse_constant=_no_constant)
-    except RecursionError as error:
-        raise ValueError("nested too deeply") from error
+    except RecursionError:
+        return _read_deep(text)
+
+
+_PIECE = re.compile(r'[ \t\n\r]*([\[\]{},:]|"(?:[^"\\\x00-\x1f]|\\.)*"|[^\s\[\]{},:"]+)')
+
+
+def _read_deep(text: str) -> object:
+    """As :func:`read_json`, with a stack instead of recursion: what is open, and for objects the name that waits for its value."""
+    done: list[object] = []  # the outermost value, once it is there
+    open_: list[tuple[list | dict, list[str]]] = []
+    wants = "value"  # or "name", ":" or "more", or with "]" or "}" beside it where a list or object may end at once
+    at, end = 0, len(text.rstrip(" \t\n\r"))
+    while at < end:
+        piece = _PIECE.match(text, at)
+        if piece is None or done:
+            raise ValueError("not JSON")
+        at, mark = piece.end(), piece.group(1)
+        if mark in "]}":
+            if not open_ or (mark == "]") != isinstance(open_[-1][0], list) or not (wants == "more" or wants.endswith(mark)):
+                raise ValueError("not JSON")
+            value: object = open_.pop()[0]
+        elif wants == "more":
+            if mark != "," or not open_:
+                raise ValueError("not JSON")
+            wants = "value" if isinstance(open_[-1][0], list) else "name"
+            continue
+        elif wants == ":":
+            if mark != ":":
+                raise ValueError("not JSON")
+            wants = "value"
+            continue
+        elif wants.startswith("name"):
+            if mark[0] != '"':
+                raise ValueError("not JSON")
+            open_[-1][1].append(json.loads(mark))
+            wants = ":"
+            continue
+        elif mark in "[{":
+            open_.append(([], []) if mark == "[" else ({}, []))
+            wants = "value]" if mark == "[" else "name}"
+            continue
+        else:
+            value = json.loads(mark, parse_constant=_no_constant)
+        if not open_:
+            done.append(value)
+        elif isinstance(open_[-1][0], list):
+            open_[-1][0].append(value)
+        else:
+            open_[-1][0][open_[-1][1].pop()] = value
+        wants = "more"
+    if not done:
+        raise ValueError("not JSON")
+    return done[0]
 
 
 def scalar(value: object) -> str | None:
     """A leaf as text: strings as they are, other values as JSON writes them, None as None."""
-    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    if value is None or isinstance(value, str):
+        return value
+    try:
+        return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    except RecursionError:
+        return _write_deep(value)
+
+
+def _write_deep(value: object) -> str:
+    out: list[str] = []
+    todo: list[object] = [value]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, _Mark):
+            out.append(item)
+        elif isinstance(item, (list, dict)):
+            pairs = item.items() if isinstance(item, dict) else ((None, v) for v in item)
+            parts: list[object] = [_Mark("[" if isinstance(item, list) else "{")]
+            for i, (k, v) in enumerate(pairs):
+                parts.append(_Mark(("," if i else "") + ("" if k is None else json.dumps(k, ensure_ascii=False) + ":")))
+                parts.append(v)
+            parts.append(_Mark("]" if isinstance(item, list) else "}"))
+            todo.extend(reversed(parts))
+        else:
+            out.append(json.dumps(item, ensure_ascii=False))
+    return "".join(out)
+
+
+class _Mark(str):
+    """Text of the JSON being written, not a value of it."""
+
+
+#: How often a recursive element stands in a path, at most, and how long a row's name may be before a digest stands for it.
+PATH_TURNS, NAME_LENGTH = 8, 512
+
+
+def _below(path: str, step: str) -> str:
+    """``path`` with ``step`` at its end; once it has turned round often enough, a path stays as it is."""
+    return path if path.count(f"/{step}") >= PATH_TURNS else f"{path}/{step}"
+
+
+def _named(parent: str, step: str, i: int) -> str:
+    """The name of a row from its parent's; of long ones a digest, or names would grow with the depth."""
+    if len(parent) > NAME_LENGTH:
+        parent = hashlib.blake2b(parent.encode("utf-8", "surrogatepass"), digest_size=DIGEST).hexdigest()
+    return f"{parent}/{step}:{i}"
+
+
+#: Bytes of a digest that stands for a text: two texts of 10^15 share one with odds of 10^-9 at most.
+DIGEST = 16
 
 
 @dataclass(frozen=True)
@@ -121,19 +222,23 @@ class Shredder:
                 prefix, part = inline.pop()
                 for field, held in part.items():
                     entries = list(self.children(field, held))
-                    if field in tables and (entries or any(True for _ in self.leaves(field, held))):
+                    others = list(self.leaves(field, held))
+                    if field in tables and (entries or others):
                         below.append((prefix, field, held))
-                    elif entries:
-                        inline.append((f"{prefix}{field}.", entries[0][0]))
+                    elif entries or others:
+                        # inlined: the first object under the field's own name, what else there is under its place
+                        inline.extend((f"{prefix}{field}." if n == 0 else f"{prefix}{field}[{i}].", entry) for n, (entry, i, _) in enumerate(entries))
+                        columns.update({f"{prefix}{field}[{i}]": scalar(entry) for entry, i in others})
                     elif field not in tables or not isinstance(held, (list, dict)):
                         columns[prefix + field] = scalar(held)
             own = columns.get(key) if key else None
             inherited = own if own is not None else map_key if map_key is not None else owner
             for prefix, field, held in below:
-                held = self.value(field, held)
-                todo.extend((f"{path}/{prefix}{field}", field, entry, f"{row}/{prefix}{field}:{i}", row, i, inherited, k) for entry, i, k in self.children(field, held))
+                held, step = self.value(field, held), prefix + field
+                at = _below(path, step)
+                todo.extend((at, field, entry, _named(row, step, i), row, i, inherited, k) for entry, i, k in self.children(field, held))
                 for entry, i in self.leaves(field, held):
-                    yield f"{path}/{prefix}{field}", field, f"{row}/{prefix}{field}:{i}", row, i, inherited, {VALUE: scalar(entry)}
+                    yield at, field, _named(row, step, i), row, i, inherited, {VALUE: scalar(entry)}
             yield path, table, row, parent, pos, owner, columns
 
 
@@ -192,9 +297,10 @@ def shred_json(df: DataFrame, root_id: str, column: str, key: str | None = None,
     * cols: the element's own fields and those inlined into it, named by their path; other values than strings as JSON.
 
     Entries of lists that aren't objects are rows with the one column ``$value``: NULL for NULL, a list in a list as JSON.
-    Empty lists give no row, nor do texts that are NULL, empty, not JSON or a single value. ``opened``, ``maps``: see :class:`Shredder`. ``own``: elements that get a table even if these
-    records hold one of them at most; ``inline``: elements that don't even if they are shared (of several in a
-    list, the first counts). ``tables``: all elements with tables, if they are known; else the graph is
+    Paths name an element eight times at most, however deep it recurs. Empty lists give no row, nor do texts that are NULL, empty, not JSON or a single value. ``opened``, ``maps``: see :class:`Shredder`. ``own``: elements that get a table even if these
+    records hold one of them at most; ``inline``: elements that don't even if they are shared or repeated: of several in
+    a list, the first has columns ``field.name``, others ``field[i].name``. Both keep the tables the same whatever the
+    records at hold; all other elements are placed by the graph. ``tables``: all elements with tables, if they are known; else the graph is
     analysed first.
     """
     shredder = Shredder(frozenset(opened), frozenset(maps))
@@ -211,7 +317,7 @@ def shred_json(df: DataFrame, root_id: str, column: str, key: str | None = None,
                     record = read_json(text)
                 except ValueError:
                     continue
-                digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+                digest = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=DIGEST).hexdigest()
                 for row in shredder.rows(record, tables, key, digest):
                     out.append((root, *row))
                     if len(out) >= 20_000:

@@ -9,14 +9,16 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
+from typing import IO
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distriq.functions.text import ANY_DATE, date_kind, date_of, find_dates, header_kinds, plain_amount, spaced_key, without_tags
+from distriq.functions.text import ANY_DATE, bare_id, bound, date_kind, date_of, find_dates, header_kinds, plain_amount, spaced_key, without_tags
 from distriq.operators.nested import is_object
 
 # Words that tell a header row from data.
@@ -32,16 +34,23 @@ def html_rows(df: DataFrame, doc_id: str, markup: str) -> DataFrame:
     """
     table, row, cell = r"(?is)<table[^>]*>(.*?)</table>", r"(?is)<tr[^>]*>(.*?)</tr>", r"(?is)<t[hd][^>]*>(.*?)</t[hd]>"
     tables = df.select(F.col(doc_id), F.posexplode(F.regexp_extract_all(markup, F.lit(table), 1)).alias("table_no", "__t"))
-    rows = tables.select(doc_id, "table_no", F.posexplode(F.regexp_extract_all("__t", F.lit(row), 1)).alias("row_no", "__r"))
-    cells = rows.withColumn("cells", F.transform(F.regexp_extract_all("__r", F.lit(cell), 1), lambda c: without_tags(c))).filter(F.size("cells") > 0)
-    only_th = F.col("__r").rlike(r"(?i)<th[^>]*>") & ~F.col("__r").rlike(r"(?i)<td[^>]*>")
-    joined = F.lower(F.array_join("cells", " "))
-    hint = joined.rlike("|".join(HEADER_WORDS)) & ~joined.rlike(ANY_DATE)
-    low = F.transform("cells", lambda c: F.lower(c))
-    order = Window.partitionBy(doc_id, "table_no").orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = cells.withColumn("__h", F.when(only_th, low)).withColumn("__seen", F.last("__h", ignorenulls=True).over(order))
-    guessed = marked.withColumn("__g", F.when(F.col("__seen").isNull() & hint, low)).withColumn("headers", F.coalesce("__seen", F.first("__g", ignorenulls=True).over(order)))
-    return guessed.filter(F.col("headers").isNotNull() & F.col("__h").isNull() & ~(F.col("__g").isNotNull() & F.col("__g").eqNullSafe(F.col("headers")))).select(doc_id, "table_no", "row_no", "headers", "cells")
+
+    def read(source: Column, i: Column) -> Column:
+        only_th = source.rlike(r"(?i)<th[^>]*>") & ~source.rlike(r"(?i)<td[^>]*>")
+        cells = F.transform(F.regexp_extract_all(source, F.lit(cell), 1), lambda c: without_tags(c))
+        return bound(cells, lambda c: bound(F.lower(F.array_join(c, " ")), lambda j: F.struct(i.alias("row_no"), c.alias("cells"), only_th.alias("head"), (j.rlike("|".join(HEADER_WORDS)) & ~j.rlike(ANY_DATE)).alias("hint"))))
+
+    # a table's rows stay one value, so headers are carried on without a shuffle
+    rows = tables.select(doc_id, "table_no", F.filter(F.transform(F.regexp_extract_all("__t", F.lit(row), 1), read), lambda r: F.size(r["cells"]) > 0).alias("__rows"))
+    headed = rows.withColumn("__heads", F.filter("__rows", lambda r: r["head"]))
+    first = F.get("__heads", F.lit(0))["row_no"]
+    guessed = headed.withColumn("__guess", F.get(F.filter("__rows", lambda r: r["hint"] & (first.isNull() | (r["row_no"] < first))), F.lit(0)))
+    each = guessed.select(doc_id, "table_no", "__heads", "__guess", F.explode("__rows").alias("__r"))
+    above = F.try_element_at(F.filter("__heads", lambda h: h["row_no"] <= F.col("__r.row_no")), F.lit(-1))["cells"]
+    guess = F.when(F.col("__guess.row_no") <= F.col("__r.row_no"), F.col("__guess.cells"))
+    named = each.select(doc_id, "table_no", F.col("__r.row_no").alias("row_no"), F.transform(F.coalesce(above, guess), lambda c: F.lower(c)).alias("headers"), F.col("__r.cells").alias("cells"), above.isNull().alias("__free"), "__r")
+    again = F.col("__free") & F.col("__r.hint") & (F.transform("cells", lambda c: F.lower(c)) == F.col("headers"))
+    return named.filter(F.col("headers").isNotNull() & ~F.col("__r.head") & ~again).select(doc_id, "table_no", "row_no", "headers", "cells")
 
 
 def text_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -50,14 +59,18 @@ def text_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     A line that names at least two kinds of dates and holds none heads the lines after it; a line under it with as many
     dates, and an amount with decimals or a dollar sign besides, is a row: its dates, then the amount.
     """
-    lines = df.select(F.col(doc_id), F.posexplode(F.split(text, r"\r?\n")).alias("line_no", "__l")).filter(F.trim("__l") != "")
-    known = lines.withColumns({"__d": find_dates(F.col("__l")), "__k": header_kinds(F.col("__l"))})
-    order = Window.partitionBy(doc_id).orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    headed = known.withColumn("__h", F.when((F.size("__k") >= 2) & (F.size("__d") == 0), F.col("__k"))).withColumn("__kinds", F.last("__h", ignorenulls=True).over(order))
-    amount = F.regexp_extract(F.regexp_replace("__l", ANY_DATE, " "), r"(\$?\d*\.\d+|\$\d+)", 1)
-    rows = headed.filter(F.col("__h").isNull() & (F.size("__d") == F.size("__kinds"))).withColumn("__a", amount).filter(F.col("__a") != "")
+    def read(line: Column, i: Column) -> Column:
+        return F.struct(i.alias("line_no"), line.alias("line"), find_dates(line).alias("dates"), header_kinds(line).alias("kinds"))
+
+    # a document's lines stay one value, so headers are carried on without a shuffle
+    lines = df.select(F.col(doc_id), F.filter(F.transform(F.split(text, r"\r?\n"), read), lambda r: F.trim(r["line"]) != "").alias("__lines"))
+    headed = lines.withColumn("__heads", F.filter("__lines", lambda r: (F.size(r["kinds"]) >= 2) & (F.size(r["dates"]) == 0))).filter(F.size("__heads") > 0)
+    each = headed.select(doc_id, "__heads", F.explode("__lines").alias("__r"))
+    kinds = F.try_element_at(F.filter("__heads", lambda h: h["line_no"] < F.col("__r.line_no")), F.lit(-1))["kinds"]
+    rows = each.withColumn("__kinds", kinds).filter((F.size("__r.dates") > 0) & (F.size("__r.dates") == F.size("__kinds")))
+    rows = rows.withColumn("__a", F.regexp_extract(F.regexp_replace("__r.line", ANY_DATE, " "), r"(\$?\d*\.\d+|\$\d+)", 1)).filter(F.col("__a") != "")
     headers = F.concat(F.transform("__kinds", lambda k: F.when(k == "ex", "ex-date").otherwise(F.concat(k, F.lit(" date")))), F.array(F.lit("amount")))
-    return rows.select(doc_id, "line_no", headers.alias("headers"), F.concat(F.transform("__d", lambda d: d.cast("string")), F.array("__a")).alias("cells"))
+    return rows.select(doc_id, F.col("__r.line_no").alias("line_no"), headers.alias("headers"), F.concat(F.transform("__r.dates", lambda d: d.cast("string")), F.array("__a")).alias("cells"))
 
 
 # Words in the header of a column with the amount paid.
@@ -92,17 +105,25 @@ def rows_to_payouts(rows: DataFrame, keys: list[str], symbols: tuple[str, ...] =
     return pairs.select(*keys, F.inline(F.filter(found, lambda r: r["ex_date"].isNotNull() & r["amount"].isNotNull())))
 
 
-# The columns of a filing index, two blanks or more apart: form, company, filer, date, path.
-INDEX_LINE = r"^(\S+(?: \S+)*?)\s{2,}(.+?)\s{2,}(\d{1,10})\s{2,}(\d{8}|\d{4}-\d{2}-\d{2})\s{2,}(\S+)\s*$"
-
-
 def index_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, line_no, form, company, filer, filed, path) of a filing index: lines after the dashes, columns two blanks apart."""
-    lines = df.select(F.col(doc_id), F.posexplode(F.split(text, r"\r?\n")).alias("line_no", "__l"), F.array_position(F.transform(F.split(text, r"\r?\n"), lambda x: F.startswith(x, F.lit("-----"))), True).alias("__from"))
-    part = lambda i: F.regexp_extract("__l", INDEX_LINE, i)
-    filer = F.regexp_replace(part(3), r"^0+(?=\d)", "")
-    rows = lines.filter((F.col("__from") > 0) & (F.col("line_no") >= F.col("__from")) & F.col("__l").rlike(INDEX_LINE))
-    return rows.select(doc_id, "line_no", part(1).alias("form"), F.trim(part(2)).alias("company"), filer.alias("filer"), F.to_date(F.try_to_timestamp(F.regexp_replace(part(4), "-", ""), F.lit("yyyyMMdd"))).alias("filed"), part(5).alias("path")).filter(F.col("filed").isNotNull())
+    """(doc_id, line_no, form, company, filer, filed, path) of a filing index: lines after the dashes, columns two blanks apart.
+
+    The first column is the form, the last three are the filer's number, the day and the path; what is between is the
+    company, whose own blanks become two where they are more. Lines that lack a column, or whose number or day is none,
+    are left out, as are those that begin with a blank.
+    """
+    rows = df.select(F.col(doc_id).alias("__doc"), F.split(text, r"\r?\n").alias("__lines"))
+    begun = F.array_position(F.transform("__lines", lambda x: F.startswith(x, F.lit("-----"))), True).cast("int")
+    lines = rows.withColumn("__from", begun).filter("__from > 0").select("__doc", "__from", F.posexplode(F.slice("__lines", F.col("__from") + 1, F.size("__lines"))).alias("__no", "__l"))
+    parts = lines.withColumn("__c", F.split(F.rtrim("__l"), r"\s{2,}")).filter(F.size("__c") >= 5)
+    last = lambda i: F.element_at("__c", -i)
+    day = F.replace(last(2), F.lit("-"), F.lit(""))
+    shaped = last(2).rlike(r"^\d{8}$|^\d{4}-\d\d-\d\d$")
+    read = parts.select(
+        F.col("__doc").alias(doc_id), (F.col("__from") + F.col("__no")).alias("line_no"), F.get("__c", F.lit(0)).alias("form"), F.array_join(F.slice("__c", 2, F.size("__c") - 4), "  ").alias("company"),
+        F.when(last(3).rlike(r"^\d{1,10}$"), bare_id(last(3))).alias("filer"), F.when(shaped, F.to_date(F.try_to_timestamp(day, F.lit("yyyyMMdd")))).alias("filed"), last(1).alias("path"),
+    )
+    return read.filter("form <> '' AND filer IS NOT NULL AND filed IS NOT NULL AND NOT path LIKE '% %'")
 
 
 def zipped(arrays: dict[str, Column]) -> Column:
@@ -120,46 +141,92 @@ def feed_rows(shredded: DataFrame) -> DataFrame:
 _SHEET = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 
 
+def _texts(item: ElementTree.Element) -> str:
+    return "".join(t.text or "" for t in item.iter(f"{_SHEET}t"))
+
+
+def _elements(file: IO[bytes], name: str) -> Iterator[ElementTree.Element]:
+    """Each closed element of this name; what was read is let go."""
+    steps = ElementTree.iterparse(file, events=("start", "end"))
+    _, root = next(steps)
+    for event, element in steps:
+        if event == "end" and element.tag == name:
+            yield element
+            root.clear()
+
+
 def sheet_cells(content: bytes) -> Iterator[tuple[str, int, list[str]]]:
-    """(sheet file, row from 0, cells as text) of a workbook; nothing if it is none. Only the standard library is needed."""
+    """(sheet file, row from 0, cells as text) of a workbook; nothing if it is none. Only the standard library is needed.
+
+    A sheet that breaks off gives the rows before; a cell that names a shared text there isn't is empty.
+    """
     try:
         book = zipfile.ZipFile(io.BytesIO(content))
     except (zipfile.BadZipFile, ValueError):
         return
     shared: list[str] = []
-    if "xl/sharedStrings.xml" in book.namelist():
-        shared = ["".join(t.text or "" for t in item.iter(f"{_SHEET}t")) for item in ElementTree.fromstring(book.read("xl/sharedStrings.xml"))]
+    try:
+        if "xl/sharedStrings.xml" in book.namelist():
+            with book.open("xl/sharedStrings.xml") as file:
+                shared.extend(_texts(item) for item in _elements(file, f"{_SHEET}si"))
+    except _BROKEN:
+        pass
     for name in sorted(n for n in book.namelist() if re.fullmatch(r"xl/worksheets/[^/]+\.xml", n)):
-        for i, row in enumerate(ElementTree.fromstring(book.read(name)).iter(f"{_SHEET}row")):
-            cells: list[str] = []
-            for cell in row.iter(f"{_SHEET}c"):
-                place = 0
-                for ch in re.sub(r"\d", "", cell.get("r", "")):
-                    place = place * 26 + ord(ch.upper()) - 64
-                while place and len(cells) < place - 1:
-                    cells.append("")
-                value = cell.find(f"{_SHEET}v")
-                text = "" if value is None else value.text or ""
-                inline = cell.find(f"{_SHEET}is")
-                cells.append(shared[int(text)] if cell.get("t") == "s" and text else "".join(t.text or "" for t in inline.iter(f"{_SHEET}t")) if inline is not None else text)
-            yield name, i, cells
+        try:
+            with book.open(name) as file:
+                for i, row in enumerate(_elements(file, f"{_SHEET}row")):
+                    yield name, i, _cells(row, shared)
+        except _BROKEN:
+            continue
+
+
+_BROKEN = (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError, KeyError, NotImplementedError, RuntimeError, StopIteration)
+
+
+def _cells(row: ElementTree.Element, shared: list[str]) -> list[str]:
+    cells: list[str] = []
+    for cell in row.iter(f"{_SHEET}c"):
+        place = 0
+        for ch in re.sub(r"[^A-Za-z]", "", cell.get("r", ""))[:3]:
+            place = place * 26 + ord(ch.upper()) - 64
+        while place and len(cells) < place - 1:
+            cells.append("")
+        value = cell.find(f"{_SHEET}v")
+        text = "" if value is None else value.text or ""
+        inline = cell.find(f"{_SHEET}is")
+        if cell.get("t") == "s":
+            text = shared[int(text)] if text.isdecimal() and int(text) < len(shared) else ""
+        elif inline is not None:
+            text = _texts(inline)
+        cells.append(text)
+    return cells
 
 
 def workbook_rows(df: DataFrame, doc_id: str, content: str) -> DataFrame:
-    """(doc_id, sheet, row_no, headers, cells) of all sheets of workbooks given as bytes; the first row with a header's words and no date heads the rest."""
+    """(doc_id, sheet, row_no, headers, cells) of all sheets of workbooks given as bytes; the first row with a header's words and no date heads the rows after it."""
+    any_date = re.compile(ANY_DATE)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(d, sheet, i, cells) for d, c in zip(batch["d"], batch["c"]) if c is not None for sheet, i, cells in sheet_cells(c)]
-            yield pd.DataFrame(out, columns=["d", "sheet", "row_no", "cells"])
+            for d, c in zip(batch["d"], batch["c"]):
+                out: list[tuple] = []
+                sheet, headers = None, None
+                for name, i, cells in sheet_cells(c) if c is not None else ():
+                    if name != sheet:
+                        sheet, headers = name, None
+                    joined = " ".join(cells).lower()
+                    if headers is not None:
+                        out.append((d, name, i, headers, cells))
+                    elif re.search("ex-|ex date|record|pay", joined) and not any_date.search(joined):
+                        headers = [h.strip().lower() for h in cells]
+                    if len(out) >= 10_000:
+                        yield pd.DataFrame(out, columns=["d", "sheet", "row_no", "headers", "cells"])
+                        out = []
+                yield pd.DataFrame(out, columns=["d", "sheet", "row_no", "headers", "cells"])
 
     kind = df.schema[doc_id].dataType.simpleString()
-    rows = df.select(F.col(doc_id).alias("d"), F.col(content).alias("c")).mapInPandas(read, f"d {kind}, sheet string, row_no int, cells array<string>")
-    joined = F.lower(F.array_join("cells", " "))
-    head = F.when(joined.rlike("ex-|ex date|record|pay") & ~joined.rlike(ANY_DATE), F.transform("cells", lambda c: F.lower(F.trim(c))))
-    order = Window.partitionBy("d", "sheet").orderBy("row_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    headed = rows.withColumn("__h", head).withColumn("headers", F.first("__h", ignorenulls=True).over(order))
-    return headed.filter(F.col("headers").isNotNull() & F.col("__h").isNull()).select(F.col("d").alias(doc_id), "sheet", "row_no", "headers", "cells")
+    rows = df.select(F.col(doc_id).alias("d"), F.col(content).alias("c")).mapInPandas(read, f"d {kind}, sheet string, row_no int, headers array<string>, cells array<string>")
+    return rows.withColumnRenamed("d", doc_id)
 
 
 def gross_of(columns: list[str]) -> Column:

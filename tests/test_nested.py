@@ -74,3 +74,38 @@ def test_typed_children(spark):
     assert typed_graph(df.schema["c"].dataType, "c") == []
     with pytest.raises(TypeError):
         child_table(df, "id", "pos")
+
+
+def test_nothing_is_lost_however_deep(spark):
+    deep = '{"a":' * 30_000 + '[1,{"x":"y"}]' + "}" * 30_000
+    lists = "[" * 30_000 + '"s"' + "]" * 30_000
+    assert read_json('{"k":' + lists + "}")["k"][0][0] is not None
+    rows = shred_json(spark.createDataFrame([("r", deep), ("s", '{"k":[' + lists + "]}"), ("t", deep[:-1])], "id string, p string"), "id", "p")
+    got = rows.filter("root_id = 'r'").selectExpr("count(*)", "count(DISTINCT row_id)", "max(length(row_id))", "count_if(cols['x'] = 'y')", "count_if(cols['$value'] = '1')").first()
+    assert tuple(got)[:2] == (30_002, 30_002) and got[2] < 1200 and tuple(got)[3:] == (1, 1)
+    assert rows.filter("root_id = 's' AND tab = 'k'").first()["cols"]["$value"] == lists
+    assert rows.filter("root_id = 't'").count() == 0
+
+
+@pytest.mark.parametrize("text", ['{"a":1,}', "[1,]", "[1 2]", '{"a" 1}', '{1:2}', "[", "]", "[}", "1 2", "", "[nul]", "[NaN]", '["\t"]', ",", '{"a":}', "[,1]", "{,}"])
+def test_the_deep_reader_is_as_strict(text):
+    from distriq.operators.nested import _read_deep
+
+    with pytest.raises(ValueError):
+        read_json(text)
+    with pytest.raises(ValueError):
+        _read_deep(text)
+
+
+@pytest.mark.parametrize("value", [{"a": [1, 2.5, None, True, {"b": "é\\n\"", "c": {}}], "d": []}, [], "s", 7, None, [[[]], {}]])
+def test_the_deep_reader_and_writer_agree_with_the_library(value):
+    from distriq.operators.nested import _read_deep, _write_deep
+
+    text = json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    assert _read_deep(f" {text}\n") == value
+    assert _write_deep(value) == text
+
+
+def test_inlined_lists_keep_all_entries(spark):
+    rows = shred_json(frame(spark, {"st": [{"c": 1}, {"c": 2}, 3]}), "id", "p", inline=("st",))
+    assert rows.first()["cols"] == {"st.c": "1", "st[1].c": "2", "st[2]": "3"}
