@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 def first_yielding(df: DataFrame, keys: list[str], readers: dict[str, Callable[[DataFrame], DataFrame]], route: str = "route") -> DataFrame:
     """Rows of the first reader that yields any for a key, with its name in ``route``; keys that no reader has rows for give none.
 
-    Readers give frames of the same columns, among them ``keys``. All of them run on all keys, side by side: which one
-    was first is a minimum per key, so there is one pass however many there are. NULL keys give no rows.
+    Readers give frames of the same columns, among them ``keys``. All of them run on all keys, side by side, each with a
+    scan of its own; which one was first is a minimum per key, joined back. NULL keys give no rows.
     """
     tagged = [reader(df).withColumns({"__rank": F.lit(i), route: F.lit(name)}) for i, (name, reader) in enumerate(readers.items())]
     rows = reduce(DataFrame.unionByName, tagged)

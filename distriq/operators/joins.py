@@ -6,26 +6,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Buckets of the first size that an interval may touch; longer ones are met in buckets so many times as large.
+SHORT, LONGER = 64, 512
+
+
 def within_intervals(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str, how: str = "inner", bucket_days: int = 32) -> DataFrame:
     """Join ``points`` to the ``intervals`` of the same keys that contain them, both ends included.
 
     Days are cut into buckets; an interval is copied to each bucket it touches, a point lies in one: an equi-join on keys
-    and bucket, and a comparison. No pair is met twice. A plain range join would compare all pairs of a key. ``how``:
-    inner, left_semi or left_anti. NULL ends contain nothing; an interval whose end is before its start neither.
+    and bucket, and a comparison. Intervals of more than SHORT buckets, such as open ones, go by buckets LONGER times as
+    large, so the copies of an interval are few however long it is. No pair is met twice. A plain range join would
+    compare all pairs of a key. ``how``: inner, left_semi or left_anti. NULL ends contain nothing; an interval whose end
+    is before its start neither.
     """
-    day = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / F.lit(bucket_days))
-    spread = intervals.filter(F.col(start) <= F.col(end)).withColumn("__b", F.explode(F.sequence(day(start), day(end))))
-    left = points.withColumn("__b", day(point)).alias("p")
-    right = spread.alias("i")
-    on = F.col("p.__b") == F.col("i.__b")
-    for k in keys:
-        on = on & (F.col(f"p.{k}") == F.col(f"i.{k}"))
-    on = on & F.col(f"p.{point}").between(F.col(f"i.{start}"), F.col(f"i.{end}"))
-    joined = left.join(right, on, how)
-    if how in ("left_semi", "left_anti"):
-        return joined.drop("__b")
-    rest = [F.col(f"i.{c}") for c in intervals.columns if c not in keys]
-    return joined.select(*(F.col(f"p.{c}") for c in points.columns), *rest)
+    touched = F.datediff(F.col(end).cast("date"), F.col(start).cast("date")) / F.lit(bucket_days)
+    usable = intervals.filter(F.col(start) <= F.col(end))
+    parts = [(usable.filter(touched <= SHORT), bucket_days), (usable.filter(touched > SHORT), bucket_days * LONGER)]
+
+    def met(left: DataFrame, some: DataFrame, size: int, kind: str) -> DataFrame:
+        day = lambda c: F.floor(F.unix_date(F.col(c).cast("date")) / F.lit(size))
+        p = left.withColumn("__b", day(point)).alias("p")
+        i = some.withColumn("__b", F.explode(F.sequence(day(start), day(end)))).alias("i")
+        on = F.col("p.__b") == F.col("i.__b")
+        for k in keys:
+            on = on & (F.col(f"p.{k}") == F.col(f"i.{k}"))
+        joined = p.join(i, on & F.col(f"p.{point}").between(F.col(f"i.{start}"), F.col(f"i.{end}")), kind)
+        if kind != "inner":
+            return joined.drop("__b")
+        return joined.select(*(F.col(f"p.{c}") for c in points.columns), *(F.col(f"i.{c}") for c in intervals.columns if c not in keys))
+
+    (short, size), (long, large) = parts
+    if how == "left_anti":
+        return met(met(points, short, size, how), long, large, how)
+    if how == "left_semi":
+        return met(points, short, size, how).union(met(met(points, short, size, "left_anti"), long, large, how))
+    return met(points, short, size, how).union(met(points, long, large, how))
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, right_at: str, values: list[str], tie: str, bucket_days: int = 32) -> DataFrame:

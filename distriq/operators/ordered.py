@@ -5,6 +5,8 @@ All orders end in a column that makes them total, so results don't depend on the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,10 +29,33 @@ def with_versions(df: DataFrame, keys: list[str], order: list[Column], id_column
     return df.withColumns({"version_no": F.row_number().over(w), "next_id": F.lead(id_column).over(w)}).withColumn("superseded", F.col("next_id").isNotNull())
 
 
-def previous_value(df: DataFrame, keys: list[str], order: list[Column], value: str, out: str = "previous") -> DataFrame:
-    """Adds the last value before this row that wasn't NULL, and ``changed``: NULL where there is none."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, F.last(value, ignorenulls=True).over(w)).withColumn("changed", F.col(value) != F.col(out))
+def _with_carry(df: DataFrame, keys: list[str], bucket: Column, summary: Column, combine: Callable[[str], Column]) -> DataFrame:
+    """``df`` with ``__b``, its bucket, and ``__carry``: what all earlier buckets of its keys add up to.
+
+    Each bucket is first reduced to one row, so windows over whole keys see buckets only, and those over rows end at
+    their buckets: a key with a third of all rows is spread over them. A NULL bucket comes first.
+    """
+    cut = df.withColumn("__b", bucket)
+    ends = cut.groupBy(*keys, "__b").agg(summary.alias("__end"))
+    before = Window.partitionBy(*keys).orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__b").alias("__kb"), combine("__end").over(before).alias("__carry"))
+    on = F.col("__b").eqNullSafe(F.col("__kb"))
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return cut.join(carried, on, "left").drop("__kb", *(f"__k{i}" for i in range(len(keys))))
+
+
+def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, out: str = "previous") -> DataFrame:
+    """Adds the last value before this row that wasn't NULL, and ``changed``: NULL where there is none.
+
+    ``order``: columns, smaller and NULL ones first. ``bucket``: rises with the first of them, such as its month.
+    """
+    place = F.struct(*(F.struct(F.col(c).isNotNull(), F.col(c)) for c in order))
+    latest_known = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), place))
+    w = Window.partitionBy(*keys, "__b").orderBy(*(F.col(c).asc_nulls_first() for c in order)).rowsBetween(Window.unboundedPreceding, -1)
+    carried = _with_carry(df, keys, bucket, latest_known, lambda c: F.last(c, ignorenulls=True))
+    found = carried.withColumn(out, F.coalesce(F.last(value, ignorenulls=True).over(w), "__carry"))
+    return found.withColumn("changed", F.col(value) != F.col(out)).drop("__b", "__carry")
 
 
 def trailing_run(df: DataFrame, keys: list[str], at: str, flag: Column, out: str = "run") -> DataFrame:
@@ -45,9 +70,18 @@ def trailing_run(df: DataFrame, keys: list[str], at: str, flag: Column, out: str
     return joined.groupBy(*keys).agg(F.count_if(F.col("__f") & (F.col("__end").isNull() | (F.col("__at") > F.col("__end")))).alias(out))
 
 
-def running(df: DataFrame, keys: list[str], order: list[Column], out: str, value: Column) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, value.over(w))
+def running_max(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, out: str) -> DataFrame:
+    """Adds the largest ``value`` of the key up to and including this row. ``order``, ``bucket``: as in :func:`previous_value`."""
+    w = Window.partitionBy(*keys, "__b").orderBy(*(F.col(c).asc_nulls_first() for c in order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = _with_carry(df, keys, bucket, F.max(value), F.max)
+    return carried.withColumn(out, F.greatest(F.max(value).over(w), F.col("__carry"))).drop("__b", "__carry")
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[Column], bucket: Column, out: str) -> DataFrame:
+    """Adds each row's number within its key, from 1 in ``order``; ``bucket`` rises with the order's first column."""
+    w = Window.partitionBy(*keys, "__b").orderBy(*order)
+    carried = _with_carry(df, keys, bucket, F.count(F.lit(1)), F.sum)
+    return carried.withColumn(out, (F.row_number().over(w) + F.coalesce("__carry", F.lit(0))).cast("long")).drop("__b", "__carry")
 
 
 def month_gaps(df: DataFrame, keys: list[str], day: str) -> DataFrame:

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from distriq.durable import durable
 from distriq.operators.skew import salted_join
 
-#: The rows of a failing key with more rows than this are joined back in several tasks; so there are at most child rows / HOT_ROWS such keys, and these are broadcast.
-HOT_ROWS = 1_000_000
-
-
 def reference_key(key: Column) -> Column:
     """The form in which keys are compared: no surrounding white space, one case; NULL if nothing is left."""
     return F.nullif(F.upper(F.regexp_replace(key, r"(?U)^\s+|\s+$", "")), F.lit(""))
@@ -47,9 +44,9 @@ def orphan_references(child: DataFrame, child_id: str, reference: str, child_tim
         .filter(F.col("__deleted") | (F.col("__first") < F.col("__created")))
         .select("__key", "__rows", F.when(F.col("__deleted"), "DELETED").otherwise("LATE").alias("__kind"), F.col("__created").cast("timestamp").alias("__created"))
     )
-    failing = missing.unionByName(present)
-    hot = failing.filter(F.col("__rows") > HOT_ROWS)
-    back = salted_join(rows, failing.drop("__rows"), ["__key"], ["child_id", "__at"], hot=hot)
+    # written, as it is read for the hot keys and for the join
+    failing = durable(missing.unionByName(present), "failing")
+    back = salted_join(rows, failing.drop("__rows"), ["__key"], ["child_id", "__at"], failing, "__rows")
     kept = back.filter((F.col("__kind") != "LATE") | (F.col("__at") < F.col("__created")))
     return kept.select(F.lit(label).alias("child_table"), "child_id", F.col("__kind").alias("kind"), F.coalesce(utc_month(F.col("__at")), F.lit("")).alias("period")).distinct()
 

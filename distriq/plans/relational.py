@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from distriq.functions.text import bare_id, date_kind, host, host_suffixes, padd
 from distriq.operators.dedup import by_content, not_yet_stored, snapshot_diff
 from distriq.operators.joins import as_of, lookup, within_intervals
 from distriq.operators.merge import merge_versions, overwrite_by_key
-from distriq.operators.ordered import first_of, latest, missing_months, month_gaps, previous_value, recent_within, running, trailing_run, with_versions
+from distriq.operators.ordered import first_of, latest, missing_months, month_gaps, numbered, previous_value, recent_within, running_max, trailing_run, with_versions
 from distriq.sources.tables import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,13 +252,13 @@ def consecutive_unknowns(spark, d):
 @query(f"SELECT event_id, class_id, epoch_us(updated_at) AS updated_us, max(ex_date) OVER (PARTITION BY class_id ORDER BY updated_at, event_id ROWS UNBOUNDED PRECEDING) AS confirmed_to FROM (SELECT DISTINCT event_id, class_id, updated_at, ex_date FROM distribution_event)")
 def confirmed_to(spark, d):
     e = load(spark, d, "distribution_event").select("event_id", "class_id", "updated_at", "ex_date").distinct()
-    return running(e, ["class_id"], [F.col("updated_at"), F.col("event_id")], "confirmed_to", F.max("ex_date")).select("event_id", "class_id", F.unix_micros("updated_at").alias("updated_us"), "confirmed_to")
+    return running_max(e, ["class_id"], ["updated_at", "event_id"], "ex_date", F.trunc(F.to_date("updated_at"), "month"), "confirmed_to").select("event_id", "class_id", F.unix_micros("updated_at").alias("updated_us"), "confirmed_to")
 
 
 @query("""SELECT doc_id, fund_id, sha, previous, sha <> previous AS changed FROM (SELECT doc_id, fund_id, sha256(text) AS sha, last_value(sha256(text) IGNORE NULLS) OVER (PARTITION BY fund_id ORDER BY published_at NULLS FIRST, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous FROM documents WHERE fund_id IS NOT NULL)""")
 def content_changes(spark, d):
     docs = load(spark, d, "documents").filter(F.col("fund_id").isNotNull()).select("doc_id", "fund_id", "published_at", F.sha2("text", 256).alias("sha"))
-    return previous_value(docs, ["fund_id"], [F.col("published_at").asc_nulls_first(), F.col("doc_id")], "sha").drop("published_at")
+    return previous_value(docs, ["fund_id"], ["published_at", "doc_id"], "sha", F.trunc(F.to_date("published_at"), "month")).drop("published_at")
 
 
 @query("SELECT sha256(text) AS sha256, count(*) AS copies, min(doc_id) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY 1")
@@ -286,7 +287,7 @@ def top15_latest(spark, d):
 @query("SELECT fund_id, ex_date, event_id, row_number() OVER (PARTITION BY fund_id ORDER BY ex_date DESC, event_id) AS line FROM (SELECT DISTINCT fund_id, ex_date, event_id FROM distribution_event)")
 def event_listing(spark, d):
     e = load(spark, d, "distribution_event").select("fund_id", "ex_date", "event_id").distinct()
-    return e.withColumn("line", F.row_number().over(Window.partitionBy("fund_id").orderBy(F.desc("ex_date"), "event_id")))
+    return numbered(e, ["fund_id"], [F.desc("ex_date"), F.col("event_id")], -F.unix_date(F.trunc("ex_date", "month")), "line")
 
 
 @query("SELECT class_id, window_start, window_end FROM (SELECT class_id, greatest(m, lo) AS window_start, least(last_day(m), hi) AS window_end FROM (SELECT class_id, lo, hi, unnest(generate_series(date_trunc('month', lo), hi, INTERVAL 1 MONTH))::DATE AS m FROM (SELECT class_id, min(ex_date) AS lo, max(ex_date) AS hi FROM distribution_event GROUP BY 1)))")
@@ -369,16 +370,18 @@ def filer_ids(spark, d):
     return load(spark, d, "fund_master").filter(c.isNotNull()).select("cik").distinct().select(c, padded_id(c, 12).alias("padded"), bare_id(padded_id(c, 12)).alias("bare"), F.format_string("https://filings.example/%s/index", bare_id(c)).alias("url"))
 
 
-@query("SELECT DISTINCT key, lower(trim(regexp_replace(replace(replace(regexp_replace(key, '([a-z])([A-Z])', '\\1 \\2', 'g'), '_', ' '), '-', ' '), '^$', ''))) AS words FROM (SELECT unnest(['exDate', 'payable_date', 'record-date', 'grossAmountTotal', 'fundID']) AS key FROM region)")
+@query("SELECT DISTINCT source AS key, trim(lower(replace(replace(regexp_replace(source, '([a-z])([A-Z])', '\\1 \\2', 'g'), '_', ' '), '-', ' '))) AS words FROM documents WHERE source IS NOT NULL")
 def key_words(spark, d):
-    keys = load(spark, d, "region").select(F.explode(F.array(*(F.lit(k) for k in ("exDate", "payable_date", "record-date", "grossAmountTotal", "fundID")))).alias("key")).distinct()
+    keys = load(spark, d, "documents").filter(F.col("source").isNotNull()).select(F.col("source").alias("key")).distinct()
     return keys.select("key", spaced_key(F.col("key")).alias("words"))
 
 
-@query("""SELECT header, CASE WHEN header LIKE '%decl%' OR header LIKE '%announced%' THEN 'declaration' WHEN header LIKE '%ex-d%' OR header LIKE '%ex d%' THEN 'ex' WHEN header LIKE '%record%' THEN 'record' WHEN header LIKE '%pay%' OR header LIKE '%paid%' THEN 'payable' END AS kind
- FROM (SELECT DISTINCT lower(trim(h)) AS header FROM (SELECT unnest(string_split('Ex-Date | Record Date | Payable Date | Amount | Declared on | Ex Dividend date | Paid', '|')) AS h FROM region))""")
+@query("""SELECT header, CASE WHEN regexp_matches(header, 'decl|announced') THEN 'declaration' WHEN regexp_matches(header, 'ex-div|ex div|ex-date|ex date|exdate') THEN 'ex' WHEN contains(header, 'record') THEN 'record' WHEN regexp_matches(header, 'payable|pay date|payment|paid') THEN 'payable' END AS kind
+ FROM (SELECT DISTINCT lower(trim(h)) AS header FROM (SELECT unnest(string_split(l, '|')) AS h FROM (SELECT unnest(regexp_split_to_array(text, '\r?\n')) AS l FROM documents) WHERE contains(l, '|')))""")
 def header_date_kinds(spark, d):
-    h = load(spark, d, "region").select(F.explode(F.split(F.lit("Ex-Date | Record Date | Payable Date | Amount | Declared on | Ex Dividend date | Paid"), r"\|")).alias("h"))
+    """What each cell of the lines with bars in the texts would announce as a header."""
+    lines = load(spark, d, "documents").select(F.explode(F.split("text", r"\r?\n")).alias("l")).filter(F.contains("l", F.lit("|")))
+    h = lines.select(F.explode(F.split("l", r"\|")).alias("h"))
     return h.select(F.lower(F.trim("h")).alias("header")).distinct().withColumn("kind", date_kind(F.col("header")))
 
 
@@ -481,14 +484,44 @@ def window_filters(spark, d):
     return load(spark, d, "distribution_event").select("event_id", inside.alias("in_window"), (F.abs(F.datediff("ex_date", lo)) <= 60).alias("near")).distinct()
 
 
-@query("""SELECT c.event_id, min(c.component_id) AS first_component, arg_min(c.component_type, c.component_id) AS first_type, count(*) AS n FROM (SELECT DISTINCT * FROM distribution_component WHERE event_id IS NOT NULL) c SEMI JOIN (SELECT DISTINCT event_id FROM distribution_event WHERE ex_date >= DATE '2026-09-01') e ON e.event_id = c.event_id GROUP BY 1""")
+@query("""SELECT c.event_id, min(c.component_id) AS first_component, arg_min(c.component_type, c.component_id) AS first_type, count(*) AS n FROM (SELECT DISTINCT * FROM distribution_component WHERE event_id IS NOT NULL) c SEMI JOIN (SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY class_id ORDER BY ex_date DESC NULLS LAST, event_id) AS rn FROM (SELECT DISTINCT event_id, class_id, ex_date FROM distribution_event)) WHERE rn <= 3) e ON e.event_id = c.event_id GROUP BY 1""")
 def provenance_of_latest(spark, d):
-    wanted = load(spark, d, "distribution_event").filter(F.col("ex_date") >= F.lit("2026-09-01").cast("date")).select("event_id").distinct()
+    """Where the amounts of each class's three latest events come from."""
+    e = load(spark, d, "distribution_event").select("event_id", "class_id", "ex_date").distinct()
+    wanted = latest(e, ["class_id"], [F.col("ex_date").desc_nulls_last(), F.col("event_id")], 3).select("event_id").distinct()
     rows = load(spark, d, "distribution_component").distinct().join(wanted, "event_id", "left_semi")
     head = F.min(F.struct("component_id", "component_type")).alias("h")
     return rows.groupBy("event_id").agg(head, F.count(F.lit(1)).alias("n")).select("event_id", F.col("h.component_id").alias("first_component"), F.col("h.component_type").alias("first_type"), "n")
 
 
+# columns as predicates
+
+
+@query("""SELECT DISTINCT event_id, source_tier IN (1, 2) AS trusted, gross_amount > 0 AS positive, coalesce(upper(extraction_route) IN ('API', 'PDF', 'HTML_TABLE'), FALSE) AS known_route, coalesce(contains(upper(extraction_route), 'HTML'), FALSE) AS html, currency IS NOT NULL AS applicable FROM distribution_event""")
+def row_predicates(spark, d):
+    """Filters by tier, sign, list, substring and applicability, as columns of one pass."""
+    route = F.upper("extraction_route")
+    no = F.lit(False)
+    flags = [F.col("source_tier").isin(1, 2).alias("trusted"), (F.col("gross_amount") > 0).alias("positive"), F.coalesce(route.isin("API", "PDF", "HTML_TABLE"), no).alias("known_route"), F.coalesce(F.contains(route, F.lit("HTML")), no).alias("html"), F.col("currency").isNotNull().alias("applicable")]
+    return load(spark, d, "distribution_event").select("event_id", *flags).distinct()
+
+
+@query("""SELECT run_id, CASE WHEN regexp_matches(payload, '^[ \t\r\n]*[{\[]') THEN 'JSON' WHEN starts_with(payload, '%PDF') THEN 'PDF' WHEN starts_with(payload, 'PK') THEN 'WORKBOOK' WHEN contains(lower(payload), '<html') THEN 'HTML' ELSE 'OTHER' END AS kind FROM multi_tier_6fund_live_validation WHERE payload IS NOT NULL""")
+def payload_kinds(spark, d):
+    """What a payload is, by its first characters."""
+    p = F.col("payload")
+    kind = F.when(p.rlike(r"^[ \t\r\n]*[{\[]"), "JSON").when(p.startswith("%PDF"), "PDF").when(p.startswith("PK"), "WORKBOOK").when(F.contains(F.lower(p), F.lit("<html")), "HTML").otherwise("OTHER")
+    return load(spark, d, "multi_tier_6fund_live_validation").filter(p.isNotNull()).select("run_id", kind.alias("kind"))
+
+
+@query("""SELECT kind, day, count(*) AS n FROM (SELECT 'ex' AS kind, ex_date AS day FROM distribution_event UNION ALL SELECT 'record', record_date FROM distribution_event UNION ALL SELECT 'payable', payable_date FROM distribution_event UNION ALL SELECT 'declaration', declaration_date FROM distribution_event) WHERE day IS NOT NULL GROUP BY ALL""")
+def observed_days(spark, d):
+    """All kinds of dates in one list, repeats kept, counted."""
+    e = load(spark, d, "distribution_event")
+    kinds = [e.select(F.lit(k).alias("kind"), F.col(f"{k}_date").alias("day")) for k in ("ex", "record", "payable", "declaration")]
+    return reduce(DataFrame.unionByName, kinds).filter(F.col("day").isNotNull()).groupBy("kind", "day").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT year, m AS month, make_date(year, m, 1) AS window_start, last_day(make_date(year, m, 1)) AS window_end FROM (SELECT DISTINCT year(ex_date) AS year FROM distribution_event), (SELECT unnest([3, 6, 9, 11, 12]) AS m)")
 def cycle_windows(spark, d):
     years = load(spark, d, "distribution_event").select(F.year("ex_date").alias("year")).distinct()

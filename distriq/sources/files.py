@@ -17,7 +17,15 @@ UNIVERSE = "fund_id string, country string, fund_name string, fund_type string,
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
     """A JSON array of funds; flags that are missing are false. Fields the schema doesn't have are left out."""
-    funds = spark.read.schema(UNIVERSE).json(path, multiLine=True)
+    return _flagged(spark.read.schema(UNIVERSE).json(path, multiLine=True))
+
+
+def read_universe_text(df: DataFrame, column: str) -> DataFrame:
+    """As :func:`read_universe`, of JSON arrays in a column; a text that isn't one gives no rows."""
+    return _flagged(df.select(F.inline(F.from_json(F.col(f"`{column}`"), f"array<struct<{UNIVERSE.replace(' ', ':').replace(',:', ',')}>>"))))
+
+
+def _flagged(funds: DataFrame) -> DataFrame:
     return funds.fillna(False, ["is_etf", "is_monthly_payer", "is_verified"])
 
 
@@ -87,30 +95,66 @@ def export_xlsx(tables: dict[str, DataFrame], path: str) -> None:
                 out.write(b"</sheetData></worksheet>")
 
 
+def _folder(spark: SparkSession, root: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(root)
+    return jvm, at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    _, at, files = _folder(spark, root)
+    names = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+    return sorted(int(n[8:]) for n in names if re.fullmatch(r"CURRENT-\d{12}", n))
+
+
+def snapshot_parts(spark: SparkSession, root: str) -> list[str] | None:
+    """The folders that make up a table's current state; None if none was ever written."""
+    versions = _versions(spark, root)
+    return None if not versions else [r[0] for r in spark.read.text(f"{root}/CURRENT-{versions[-1]:012d}").collect()]
+
+
+def _point(spark: SparkSession, root: str, parts: list[str]) -> None:
+    """Make these parts the current state: a pointer with the next number is put in place, and none is ever taken away.
+
+    Readers go by the highest number, so at no moment is there none. A writer that finds its number taken raises.
+    """
+    jvm, at, files = _folder(spark, root)
+    number = (_versions(spark, root) or [0])[-1] + 1
+    draft, final = (jvm.org.apache.hadoop.fs.Path(f"{root}/{name}") for name in (f"_draft.{uuid.uuid4().hex}", f"CURRENT-{number:012d}"))
+    out = files.create(draft, True)
+    out.write(bytearray("\n".join(parts).encode()))
+    out.close()
+    if files.exists(final) or not files.rename(draft, final):
+        files.delete(draft, False)
+        raise RuntimeError(f"another writer changed {root}")
+
+
 def write_snapshot(df: DataFrame, root: str) -> str:
     """Write a table's new state beside the old one and point to it: readers see the one or the other, never a half.
 
-    ``df`` may read the current snapshot. Returns the new snapshot's path; the old one stays until somebody removes it.
+    ``df`` may read the current snapshot. Returns the new snapshot's path; older ones stay until somebody removes them.
     """
+    path = f"{root}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _point(df.sparkSession, root, [path])
+    return path
+
+
+def append_snapshot(df: DataFrame, root: str) -> str:
+    """Add rows to a table's state: they alone are written, and the pointer names them beside what there was."""
     spark = df.sparkSession
     path = f"{root}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    draft = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT.{uuid.uuid4().hex}")
-    out = files.create(draft, True)
-    out.write(bytearray(path.encode()))
-    out.close()
-    files.delete(at, False)
-    files.rename(draft, at)
+    _point(spark, root, [*(snapshot_parts(spark, root) or []), path])
     return path
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The state that :func:`write_snapshot` wrote last."""
-    pointer = spark.read.text(f"{root}/CURRENT").first()
-    return spark.read.parquet(pointer[0])
+    """The state that was written last; raises FileNotFoundError if none was."""
+    parts = snapshot_parts(spark, root)
+    if parts is None:
+        raise FileNotFoundError(root)
+    return spark.read.parquet(*parts)
 
 
 def report_json(metrics: DataFrame) -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from distriq.operators.dedup import not_yet_stored
-from distriq.sources.files import read_snapshot, write_snapshot
+from distriq.sources.files import append_snapshot, read_snapshot, snapshot_parts, write_snapshot
 
 
 def arriving(spark: SparkSession, directory: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
@@ -38,21 +38,30 @@ def sessions(stream: DataFrame, at: str, key: str, gap: str = "30 minutes", dela
     return grouped.select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), "n")
 
 
+#: Parts of a snapshot, at most, before they are written as one.
+PARTS = 64
+
+
 def into_snapshot(stream: DataFrame, root: str, keys: list[str], checkpoint: str, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merge each micro-batch into the snapshot at ``root``; without ``merge``, rows with new keys are added.
 
-    A batch that is replayed after a failure finds its keys stored and changes nothing.
+    Added rows are written as a part of their own, so a batch costs what it brings and a look at the stored keys; every
+    PARTS batches the parts are written as one. A ``merge`` may change any row and writes the whole state. A batch that
+    is replayed after a failure finds its keys stored and changes nothing.
     """
 
     def step(batch: DataFrame, _: int) -> None:
-        try:
-            stored = read_snapshot(batch.sparkSession, root)
-        except Exception as error:  # there is no snapshot before the first batch
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+        spark = batch.sparkSession
+        parts = snapshot_parts(spark, root)
+        if parts is None:
             write_snapshot(batch.dropDuplicates(keys), root)
             return
-        merged = merge(stored, batch) if merge else stored.unionByName(not_yet_stored(batch.dropDuplicates(keys), stored, keys))
-        write_snapshot(merged, root)
+        stored = read_snapshot(spark, root)
+        if merge:
+            write_snapshot(merge(stored, batch), root)
+            return
+        append_snapshot(not_yet_stored(batch.dropDuplicates(keys), stored, keys), root)
+        if len(parts) >= PARTS:
+            write_snapshot(read_snapshot(spark, root), root)
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -2,13 +2,14 @@ import random
 from datetime import date
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from distriq.operators.dedup import by_content, not_yet_stored, snapshot_diff
 from distriq.operators.fallback import first_yielding, with_fallback
 from distriq.operators.joins import as_of, within_intervals
 from distriq.operators.merge import merge_versions, overwrite_by_key
-from distriq.operators.ordered import first_of, latest, missing_months, previous_value, recent_within, trailing_run
+from distriq.operators.ordered import first_of, latest, missing_months, numbered, previous_value, recent_within, running_max, trailing_run
 
 
 def test_within_intervals_against_all_pairs(spark):
@@ -50,7 +51,7 @@ def test_runs_gaps_and_previous(spark):
     days = spark.createDataFrame([("a", date(2024, 1, 5)), ("a", date(2024, 1, 9)), ("a", date(2024, 4, 2)), ("b", date(2024, 1, 1)), ("b", None)], "k string, d date")
     assert sorted(tuple(r) for r in missing_months(days, ["k"], "d").collect()) == [("a", date(2024, 2, 1)), ("a", date(2024, 3, 1))]
     seen = spark.createDataFrame([("u", 1, "x"), ("u", 2, None), ("u", 3, "x"), ("u", 4, "y")], "k string, t int, v string")
-    assert [tuple(r) for r in previous_value(seen, ["k"], [F.col("t")], "v").orderBy("t").select("previous", "changed").collect()] == [(None, None), ("x", None), ("x", False), ("x", True)]
+    assert [tuple(r) for r in previous_value(seen, ["k"], ["t"], "v", F.floor(F.col("t") / 2)).orderBy("t").select("previous", "changed").collect()] == [(None, None), ("x", None), ("x", False), ("x", True)]
 
 
 def test_latest_and_first(spark):
@@ -124,3 +125,30 @@ def test_first_yielding_and_fallback(spark):
     status = spark.createDataFrame([(1, "YES"), (2, "UNKNOWN"), (3, "UNKNOWN"), (4, None)], "k int, s string")
     out = with_fallback(status, "s = 'UNKNOWN'", ["k"], lambda keys: keys.filter("k = 2").withColumn("s", F.lit("NO")))
     assert sorted(map(str, out.collect())) == sorted(["Row(k=1, s='YES')", "Row(k=2, s='NO')", "Row(k=3, s='UNKNOWN')", "Row(k=4, s=None)"])
+
+
+def test_long_intervals_go_by_larger_buckets(spark):
+    days = [date(2020, 1, 1), date(2024, 6, 1), date(9999, 12, 31), date(1900, 1, 1)]
+    points = spark.createDataFrame([(k, d) for k in "ab" for d in days], "k string, d date")
+    ends = [("a", date(2024, 1, 1), date(9999, 12, 31), 1), ("a", date(2024, 5, 1), date(2024, 7, 1), 2), ("b", date(1, 1, 1), date(9999, 12, 31), 3), ("b", date(2021, 1, 1), date(2020, 1, 1), 4), ("b", None, date(2020, 1, 1), 5)]
+    intervals = spark.createDataFrame(ends, "k string, s date, e date, n int")
+    pairs = {(k, d, n) for k, d in ((k, d) for k in "ab" for d in days) for q, s, e, n in ends if q == k and s and s <= d <= e}
+    got = within_intervals(points, intervals, ["k"], "d", "s", "e")
+    assert {(r["k"], r["d"], r["n"]) for r in got.collect()} == pairs and got.count() == len(pairs)
+    semi = [tuple(r) for r in within_intervals(points, intervals, ["k"], "d", "s", "e", "left_semi").collect()]
+    assert sorted(semi) == sorted({(k, d) for k, d, _ in pairs})
+    anti = [tuple(r) for r in within_intervals(points, intervals, ["k"], "d", "s", "e", "left_anti").collect()]
+    assert sorted(semi + anti) == sorted((k, d) for k in "ab" for d in days)
+
+
+def test_bucketed_windows_equal_whole_ones(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["a", "b", None]), rng.choice([None, *range(30)]), rng.choice([None, "x", "y"])) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, k string, t int, v string")
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_first(), "i")
+    plain = df.select("i", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("p"), F.max("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"), F.row_number().over(w).alias("n"))
+    bucket = F.floor(F.col("t") / 7)
+    a = previous_value(df, ["k"], ["t", "i"], "v", bucket, "p").select("i", "p")
+    b = running_max(df, ["k"], ["t", "i"], "v", bucket, "m").select("i", "m")
+    c = numbered(df, ["k"], [F.col("t").asc_nulls_first(), F.col("i")], bucket, "n").select("i", "n")
+    assert sorted(map(tuple, a.join(b, "i").join(c, "i").collect())) == sorted(map(tuple, plain.collect()))

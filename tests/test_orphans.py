@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from distriq.operators import orphans
+from distriq.operators import skew
 from distriq.operators.orphans import orphan_counts, orphan_references
 from distriq.operators.skew import salted_join
 
@@ -45,7 +45,7 @@ def test_period_is_utc(spark):
 def test_hot_keys_give_the_same_rows(spark, monkeypatch):
     child = [(str(i), "gone" if i % 3 else "other", day(1 + i % 9), "") for i in range(300)]
     plain = run(spark, child, [])
-    monkeypatch.setattr(orphans, "HOT_ROWS", 50)
+    monkeypatch.setattr(skew, "TASK_ROWS", 50)
     assert run(spark, child, []) == plain
     assert len(plain) == 300
 
@@ -55,9 +55,13 @@ def test_counts(spark):
     assert [r.asDict() for r in orphan_counts(df).collect()] == [{"child_table": "t", "period": "2024-01", "kind": "LATE", "n_orphans": 2}]
 
 
-def test_salted_join(spark):
+def test_salted_join(spark, monkeypatch):
     many = spark.createDataFrame([(1, i) for i in range(40)] + [(2, 0), (3, 0), (None, 0)], "k int, x int")
     one = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    hot = spark.createDataFrame([(1,)], "k int")
-    for how in ("inner", "left"):
-        assert sorted(map(str, salted_join(many, one, ["k"], ["x"], how, hot).select("k", "x", "v").collect())) == sorted(map(str, many.join(one, ["k"], how).select("k", "x", "v").collect()))
+    counts = many.groupBy("k").count()
+    for rows, keys in ((100, 5), (7, 5), (7, 0)):  # no hot key, a broadcast one, too many to broadcast
+        monkeypatch.setattr(skew, "TASK_ROWS", rows)
+        monkeypatch.setattr(skew, "HOT_KEYS", keys)
+        for how in ("inner", "left"):
+            got = salted_join(many, one, ["k"], ["x"], counts, "count", how).select("k", "x", "v").collect()
+            assert sorted(map(str, got)) == sorted(map(str, many.join(one, ["k"], how).select("k", "x", "v").collect()))

@@ -24,14 +24,14 @@ def test_zipped_arrays_of_several_entries(spark):
 
 def test_parallel_arrays_of_all_days(spark, tmp_path):
     rows = [("e1", "a", date(2019, 11, 2)), ("e2", "a", D), ("e3", "a", D), ("e4", "a", None), ("e5", None, D), ("e1", "a", date(2019, 11, 2))]
-    got = parsing.QUERIES["parallel_arrays_whole"](spark, events(spark, tmp_path, rows)).collect()
+    got = parsing.QUERIES["parallel_arrays"](spark, events(spark, tmp_path, rows)).collect()
     assert sorted(((r["event_id"], r["class_id"], r["ex_date"]) for r in got)) == sorted(set(rows))
 
 
 def test_written_dates_of_every_row(spark, tmp_path):
     rows = [(1, "2024-03-05"), (2, "05-Mar-2024"), (3, "20240305"), (4, "2024-03-05T00:00:00Z"), (5, ""), (6, None), (7, "TBA"), (8, "March 5, 2024")]
     spark.createDataFrame(rows, "extract_id long, ex_date string").write.parquet(f"{tmp_path}/layer_b_extracted_events.parquet")
-    got = {r["extract_id"]: r["ex_day"] for r in parsing.QUERIES["written_dates_whole"](spark, str(tmp_path)).collect()}
+    got = {r["extract_id"]: r["ex_day"] for r in parsing.QUERIES["written_dates"](spark, str(tmp_path)).collect()}
     assert got == dict.fromkeys(range(1, 9)) | {1: date(2024, 3, 5), 8: date(2024, 3, 5)}
 
 
@@ -40,5 +40,5 @@ def test_schedules_of_rows_that_lack_dates(spark, tmp_path):
     rows = [("e1", "a", day[1], day[2], day[3], day[0], 1), ("e2", "a", day[1], None, day[3], None, 2), ("e2", "a", day[1], day[2], None, None, 2), ("e3", "a", day[1], None, None, day[0], 3), ("e4", "a", day[1], None, None, None, 4)]
     kind = "event_id string, class_id string, ex_date date, record_date date, payable_date date, declaration_date date, gross_amount long"
     spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/distribution_event.parquet")
-    got = parsing.QUERIES["text_schedule_any_dates"](spark, str(tmp_path)).collect()
+    got = parsing.QUERIES["text_schedule_roundtrip"](spark, str(tmp_path)).collect()
     assert {tuple(r) for r in got} == {(e, ex, r, p, d, float(a)) for e, _, ex, r, p, d, a in rows if e != "e4"}
