@@ -164,10 +164,23 @@ def _digits(span: str) -> str:
     return re.sub(r"[A-Za-z]", "A", re.sub(r"\d", "9", span))
 
 
+#: Where a number may be: stretches of digits and what stands between them, which a pattern finds fast; and room for what
+#: the patterns look at around it.
+_ZONE = re.compile(rf"[+(\d](?:[\d()+]|{_SEP}){{5,}}")
+_ROOM = 4
+
+
 def numbers(text: str) -> list[Candidate]:
     out = []
+    zones: list[list[int]] = []
+    for m in _ZONE.finditer(text):
+        start, end = max(0, m.start() - _ROOM), m.end() + _ROOM
+        if zones and start <= zones[-1][1]:
+            zones[-1][1] = end
+        else:
+            zones.append([start, end])
     for kind, pattern in _NUMBERS.items():
-        for m in pattern.finditer(text):
+        for m in (m for start, end in zones for m in pattern.finditer(text, start, end)):
             start, end = m.span()
             if kind == "PHONE":
                 if (more := _EXTENSION.match(text, end)) is not None:
@@ -182,6 +195,9 @@ _LOCAL_LETTERS = frozenset(".+%'-_")
 _WRITTEN_DOT = re.compile(r"([^\W_][\w+%'-]*)(?:[ ]?[(\[{][ ]?(?:dot|point)[ ]?[)\]}][ ]?|[ \n]+(?:dot|point)[ \n]+)$", re.IGNORECASE)
 
 
+_BRACKETED = re.compile(r"[(\[{][ ]?(?:at|arobase|chez|à)[ ]?[)\]}]")
+
+
 def _local_start(text: str, end: int) -> int:
     """Where the part of an address before its at begins, with the written dots in it; ``end`` if there is none."""
     begin = end
@@ -202,6 +218,10 @@ def _local_start(text: str, end: int) -> int:
 
 
 def emails(text: str) -> list[Candidate]:
+    low = text.lower()
+    # an address has the sign, brackets around its word, or the words for its dots
+    if "@" not in text and "dot" not in low and "point" not in low and _BRACKETED.search(low) is None:
+        return []
     out = []
     for m in _AT.finditer(text):
         domain = _DOMAIN.match(text, m.end())
