@@ -23,37 +23,56 @@ from distriq.llm.words import END, cleaned, stream, words
 
 #: Bytes of text that one shard holds at most, unless a single document is longer.
 SHARD_BYTES = 16 << 20
-#: Test text beyond this many bytes is looked up in several passes over the corpus.
-TEST_BYTES = 64 << 20
+#: Test text beyond this many bytes is looked up in several passes over the corpus; a pass takes about ten times as much
+#: memory in a worker, as each word of it is a suffix with a place and a head.
+TEST_BYTES = 16 << 20
 HEAD = 8
 
 
 @dataclass
 class Suffixes:
-    """What is looked up: per test text and word, the first ``least`` words from there on, or the whole text if it has fewer."""
+    """What is looked up: of each test text and word the first ``least`` words from there on, or the whole text if it has fewer.
 
+    All words' letters lie one after the other in ``data``; a suffix is the number of its first word, and arrays tell the
+    rest: where words begin (the next one where they end), their items, the first word of the item and the one after it.
+    """
+
+    data: bytes
+    begin: np.ndarray
     item: np.ndarray
-    word: np.ndarray
-    needle: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    suffix: np.ndarray
+    size: np.ndarray
     heads: np.ndarray
-    letters: dict[int, list[bytes]]
 
     @classmethod
     def of(cls, items: list[tuple[int, str]], least: int) -> Suffixes:
-        rows, letters = [], {}
-        for item, text in items:
-            found = words(text or "")
-            letters[item] = found
-            size = min(least, len(found))
-            rows += [(item, k, b"".join(found[k : k + size])) for k in range(len(found) - size + 1) if size]
-        rows.sort(key=lambda r: r[2])
-        needle = np.array([r[2] for r in rows], dtype=object)
-        heads = np.unique(np.array([_head(n) for n in needle], dtype=np.uint64)) if rows else np.empty(0, np.uint64)
-        return cls(np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int32), needle, heads, letters)
-
-
-def _head(needle: bytes) -> int:
-    return int.from_bytes(needle[:HEAD].ljust(HEAD, b"\0"), "big")
+        parts, sizes, item, first, last, suffix, count = [], [0], [], [], [], [], []
+        for number, text in items:
+            found, at = words(text or ""), len(item)
+            n = min(least, len(found))
+            parts += found
+            sizes += map(len, found)
+            item += [number] * len(found)
+            first += [at] * len(found)
+            last += [at + len(found)] * len(found)
+            if n:
+                suffix += range(at, at + len(found) - n + 1)
+                count += [n] * (len(found) - n + 1)
+        data, begin = b"".join(parts), np.cumsum(sizes)
+        start = np.array(suffix, np.int64)
+        size = begin[start + np.array(count, np.int64)] - begin[start]
+        # of suffixes shorter than a head only their own bytes count
+        cut = (8 * np.maximum(HEAD - size, 0)).astype(np.uint64)
+        heads = (_heads_at(np.frombuffer(data, np.uint8), begin[start]) >> cut) << cut
+        order = np.argsort(heads, kind="stable")
+        return cls(data, begin, np.array(item, np.int64), np.array(first, np.int64), np.array(last, np.int64), start[order], size[order], heads[order])
+
+    def letters(self, i: int) -> bytes:
+        """The letters of the i-th suffix."""
+        at = int(self.begin[self.suffix[i]])
+        return self.data[at : at + int(self.size[i])]
 
 
 def _heads_at(text: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -93,9 +112,9 @@ def suffix_array(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-def _search(text: bytes, order: np.ndarray, needle: bytes, low: int, above: bool) -> int:
-    """The first place in ``order`` whose suffix isn't smaller than ``needle``, or with ``above`` doesn't begin with it or a smaller text."""
-    high, size = len(order), len(needle)
+def _search(text: bytes, order: np.ndarray, needle: bytes, low: int, high: int, above: bool) -> int:
+    """The first place in ``order``, from ``low`` to ``high``, whose suffix isn't smaller than ``needle``, or with ``above`` doesn't begin with it or a smaller text."""
+    size = len(needle)
     while low < high:
         middle = (low + high) // 2
         here = text[order[middle] : order[middle] + size]
@@ -106,13 +125,14 @@ def _search(text: bytes, order: np.ndarray, needle: bytes, low: int, above: bool
     return low
 
 
-def _longest(text: bytes, at: int, letters: list[bytes], word: int) -> int:
+def _longest(text: bytes, at: int, tests: Suffixes, word: int) -> int:
     """Words of the test text from ``word`` on that stand at ``at``, one after the other."""
     n = 0
-    for w in letters[word:]:
-        if text[at : at + len(w)] != w:
+    for w in range(word, int(tests.last[word])):
+        begin, end = int(tests.begin[w]), int(tests.begin[w + 1])
+        if text[at : at + end - begin] != tests.data[begin:end]:
             break
-        at += len(w)
+        at += end - begin
         n += 1
     return n
 
@@ -121,35 +141,39 @@ def shard_matches(ids: list[int], texts: list[str], tests: Suffixes) -> Iterator
     """(document, item, item word, words, letters before it in the document) of each match in one shard, the longest per document and item."""
     data, starts, ends = stream([cleaned(t) for t in texts])
     at = np.flatnonzero(starts)
-    if not len(tests.needle) or not len(at):
+    if not len(tests.suffix) or not len(at):
         return
     heads = _heads_at(data, at)
-    # a needle shorter than a head is a prefix of it
     place = np.searchsorted(tests.heads, heads)
     known = tests.heads[np.minimum(place, len(tests.heads) - 1)] == heads
-    short = sorted({n for n in tests.needle if len(n) < HEAD})
-    for n in short:
-        low, high = _head(n), _head(n) | ((1 << (8 * (HEAD - len(n)))) - 1)
+    # a suffix shorter than a head is a prefix of what it matches: all heads from its own on to the last that begins so
+    upper = tests.heads.copy()
+    short = np.flatnonzero(tests.size < HEAD)
+    upper[short] |= (np.uint64(1) << (8 * (HEAD - tests.size[short])).astype(np.uint64)) - np.uint64(1)
+    for low, high in set(zip(tests.heads[short].tolist(), upper[short].tolist())):
         known |= (heads >= np.uint64(low)) & (heads <= np.uint64(high))
-    order = suffix_array(data, at[known], max(map(len, tests.needle)))
+    order = suffix_array(data, at[known], int(tests.size.max()))
+    sorted_heads = _heads_at(data, order)
     text = data.tobytes()
     stops = np.flatnonzero(data == END)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    low, previous, span = 0, b"", (0, 0)
-    for i, needle in enumerate(tests.needle):
-        if needle != previous:
-            low = _search(text, order, needle, low, False)
-            span, previous = (low, _search(text, order, needle, low, True)), needle
-        for position in order[span[0] : span[1]]:
+    # all suffixes' heads are searched at once; only those that stand in the shard are looked at one by one
+    lows, highs = np.searchsorted(sorted_heads, tests.heads, "left"), np.searchsorted(sorted_heads, upper, "right")
+    for i in np.flatnonzero(lows < highs).tolist():
+        needle = tests.letters(i)
+        low = _search(text, order, needle, int(lows[i]), int(highs[i]), False)
+        high = _search(text, order, needle, low, int(highs[i]), True)
+        word = int(tests.suffix[i])
+        for position in order[low:high].tolist():
             if not ends[position + len(needle) - 1]:
                 continue
             document = int(np.searchsorted(stops, position))
-            item, word = int(tests.item[i]), int(tests.word[i])
-            size = _longest(text, int(position), tests.letters[item], word)
-            begin = int(position) - (int(stops[document - 1]) + 1 if document else 0)
+            item, place_in_item = int(tests.item[word]), word - int(tests.first[word])
+            size = _longest(text, position, tests, word)
+            begin = position - (int(stops[document - 1]) + 1 if document else 0)
             have = best.get((document, item))
-            if have is None or (size, -word) > (have[0], -have[1]):
-                best[(document, item)] = (size, word, begin)
+            if have is None or (size, -place_in_item) > (have[0], -have[1]):
+                best[(document, item)] = (size, place_in_item, begin)
     for (document, item), (size, word, begin) in best.items():
         yield ids[document], item, word, size, begin
 
@@ -190,10 +214,11 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
 
 def _pass(corpus: DataFrame, part: list[tuple[int, str]], least: int) -> DataFrame:
-    shared = corpus.sparkSession.sparkContext.broadcast(part)
+    # worked out once, not in every task
+    shared = corpus.sparkSession.sparkContext.broadcast(Suffixes.of(part, least))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tests = Suffixes.of(shared.value, least)
+        tests = shared.value
         ids: list[int] = []
         texts: list[str] = []
         size = 0

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distriq.llm.history import restated
-from distriq.llm.leakage import leaks
+from distriq.llm.leakage import leaks, without_leaks
 from distriq.llm.mixing import mix, tokenizer_path
 from distriq.llm.pii import find_mentions, redact
 from distriq.llm.survivor import Learned, Stated, Survivors, precedence, survivors, transitions
@@ -109,6 +109,12 @@ def p6_matches(spark: SparkSession, directory: str) -> DataFrame:
     return leaks(load(spark, directory, "documents"), load(spark, directory, "eval_item"))
 
 
+def p6_clean(spark: SparkSession, directory: str) -> DataFrame:
+    """The documents that hold nothing of the test items."""
+    documents = load(spark, directory, "documents")
+    return without_leaks(documents, leaks(documents, load(spark, directory, "eval_item"))).select("doc_id", "source", "n_chars").distinct()
+
+
 def p7_mix(spark: SparkSession, directory: str) -> DataFrame:
     return mix(load(spark, directory, "documents"), load(spark, directory, "mix_target"), tokenizer_path()).documents
 
@@ -130,7 +136,7 @@ def p8_redacted(spark: SparkSession, directory: str) -> DataFrame:
     return redact(load(spark, directory, "documents").select("doc_id", "text")).select("doc_id", "redacted")
 
 
-QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_blocks": p7_blocks, "p6_found": p6_found, "p6_matches": p6_matches, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency, "p5_precedence": p5_precedence}
+QUERIES = {"p8_found": p8_found, "p8_redacted": p8_redacted, "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_blocks": p7_blocks, "p6_found": p6_found, "p6_matches": p6_matches, "p6_clean": p6_clean, "p3_found": p3_found, "p5_found": p5_found, "p5_currency": p5_currency, "p5_precedence": p5_precedence}
 
 _P5_SQL = """
 WITH t AS (SELECT *, upper(regexp_replace(class_id, '^\\s+|\\s+$', '', 'g')) AS c, upper(regexp_replace(distribution_category, '^\\s+|\\s+$', '', 'g')) AS k,
@@ -142,4 +148,16 @@ SELECT DISTINCT arg_min(event_id, n) AS event_id, coalesce(arg_min(event_id, n)
 FROM r GROUP BY c, k, ex_date HAVING count(DISTINCT event_id) > 1
 """
 
-ORACLE_SQL = {"p5_found": _P5_SQL}
+# row by row in the order of ids: each fund's list of accepted entries is what the next row of the fund meets
+_P3_SQL = """
+WITH RECURSIVE e AS (SELECT extract_id AS id, nullif(upper(regexp_replace(fund_id, '[\\s\\x{00A0}_\\-]+', '', 'g')), '') AS k, gross_amount AS a, date_diff('day', DATE '1970-01-01',
+    coalesce(try_strptime(t, ['%Y-%m-%d', '%Y%m%d', '%Y/%m/%d', '%m/%d/%Y', '%b %d, %Y', '%B %d, %Y', '%d-%b-%Y', '%d %b %Y', '%d %B %Y', '%Y-%m-%dT%H:%M:%SZ', '%Y-%m-%d %H:%M:%S']))::DATE) AS d
+  FROM (SELECT *, trim(ex_date) AS t FROM layer_b_extracted_events WHERE batch_no IS NOT NULL)),
+s AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY id) AS n FROM e WHERE k IS NOT NULL AND d IS NOT NULL AND a IS NOT NULL AND isfinite(a)),
+r AS (SELECT k, n, [struct_pack(i := id, d := d, a := a)] AS acc, id, NULL::BIGINT AS first_id FROM s WHERE n = 1
+  UNION ALL SELECT k, n, CASE WHEN m IS NULL THEN list_append(acc, struct_pack(i := id, d := d, a := a)) ELSE acc END, id, m
+  FROM (SELECT s.k, s.n, r.acc, s.id, s.d, s.a, list_min([x.i FOR x IN r.acc IF abs(x.d - s.d) <= 1 AND abs(x.a - s.a) <= 0.005 * greatest(abs(x.a), abs(s.a))]) AS m FROM r JOIN s ON s.k = r.k AND s.n = r.n + 1))
+SELECT first_id, id AS dup_id FROM r WHERE first_id IS NOT NULL
+"""
+
+ORACLE_SQL = {"p3_found": _P3_SQL, "p5_found": _P5_SQL}
