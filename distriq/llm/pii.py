@@ -26,8 +26,15 @@ from distriq.llm.pii_lattice import REACH, Candidate, Floor, candidates, cluster
 WEIGHTS = Path(__file__).with_name("pii_weights.json")
 
 
+class Weights(dict):
+    """Weights of features; one that isn't known has 0."""
+
+    def __missing__(self, feature: str) -> float:
+        return 0.0
+
+
 def load_weights(path: str | Path = WEIGHTS) -> dict[str, float]:
-    return json.loads(Path(path).read_text(encoding="utf-8"))
+    return Weights(json.loads(Path(path).read_text(encoding="utf-8")))
 
 
 @lru_cache(maxsize=4)
@@ -46,7 +53,7 @@ def _floor(weights: dict[str, float]) -> Floor:
 
 
 def score(features: tuple[str, ...], weights: dict[str, float]) -> float:
-    return sum(weights.get(f, 0.0) for f in features)
+    return sum(map(weights.__getitem__, features)) if isinstance(weights, Weights) else sum(weights.get(f, 0.0) for f in features)
 
 
 def predecessors(cluster: list[Candidate]) -> list[tuple[int, list[int]]]:

@@ -78,9 +78,12 @@ _LETTER = _class_of("Lu", "Lt", "Ll", "Lm", "Lo", "Mn")
 # Words in small letters between the parts of a family name.
 PARTICLES = "de la le les du des da das do dos di del della den der van von vom zu zum zur ter ten te af av al el bin ibn ben abu y e".split()
 _B = "[ \\t\xa0\u2009\u202f]"
-_WORD = rf"[{_UPPER}](?:[{_LETTER}'’]*[{_LETTER}])?(?:-[{_LETTER}][{_LETTER}'’]*[{_LETTER}])*"
-_INITIALS = rf"(?:[{_UPPER}]\.(?:-[{_UPPER}]\.)?[ \xa0]?){{1,3}}"
-_TOKEN = re.compile(rf"(?=[{_UPPER}])(?:(?<![\w@/.’'-])|(?<=\b[dlDL]['’]))(?:(?P<i>{_INITIALS})(?=[ \xa0]?(?:[{_UPPER}]|(?:{'|'.join(PARTICLES)})[ \xa0]))|(?P<w>{_WORD})(?![\w@/]|[’'-]\w))")
+_HYPHENED = rf"(?:-[{_LETTER}][{_LETTER}'’]*[{_LETTER}])*"
+_DOTTED = rf"\.(?:-[{_UPPER}]\.)?[ \xa0]?"
+# patterns begin with the letters or digits that can be first, and look back from there: so they are searched for fastest
+_FREE = rf"(?:(?<![\w@/.’'-][{_UPPER}])|(?<=\b[dlDL]['’][{_UPPER}]))"
+_INITIALS = rf"{_DOTTED}(?:[{_UPPER}]{_DOTTED}){{0,2}}(?=[ \xa0]?(?:[{_UPPER}]|(?:{'|'.join(PARTICLES)})[ \xa0]))"
+_TOKEN = re.compile(rf"[{_UPPER}]{_FREE}(?:(?P<i>{_INITIALS})|(?:[{_LETTER}'’]*[{_LETTER}])?{_HYPHENED}(?![\w@/]|[’'-]\w))")
 _WHITE = " \t\xa0\u2009\u202f\r\n"
 _PARTICLE_HEADS = frozenset(p[0] for p in PARTICLES)
 _PARTICLE_GAP = re.compile(rf"(?:{_B}|\r?\n)*(?P<p>(?:(?:{'|'.join(PARTICLES)})(?:{_B}|\r?\n)+){{1,3}}(?:[dl]['’])?|[dl]['’])")
@@ -104,12 +107,12 @@ _DOMAIN = re.compile(rf"[ \n]*[^\W_][\w-]*(?:{_DOT}[^\W_][\w-]*)+", re.IGNORECAS
 _TYPES = r"Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Way|Crescent|Cres|Boulevard|Blvd|Place|Pl|Terrace|Terr|Square|Sq|Trail|Parkway|Pkwy|Highway|Hwy|Circle|Close|Row|Alley|Quay"
 _VOIES = r"rue|avenue|boulevard|chemin|place|all[ée]e|route|impasse|quai|cours|square|mont[ée]e|rang|c[ôo]te|sentier|ruelle"
 _S = r"[  \n]+"
-_HOUSE = rf"\d{{1,6}}[A-Za-z]?(?:[ ]?[-–/][ ]?\d{{1,6}}[A-Za-z]?)?(?:{_S}(?:bis|ter))?"
+_HOUSE = rf"\d(?<![\w.,/$-]\d)\d{{0,5}}[A-Za-z]?(?:[ ]?[-–/][ ]?\d{{1,6}}[A-Za-z]?)?(?:{_S}(?:bis|ter))?"
 _WAY = rf"(?P<type>(?:{_TYPES}|{_TYPES.upper()})(?![{_LETTER}])\.?)"
 _DIRECTION = rf"(?:(?:[NSEWO]\.?|[NS][EW]\.?|North|South|East|West|NORTH|SOUTH|EAST|WEST){_S})?"
 _NAMED = rf"(?:(?:\d{{1,4}}(?:st|nd|rd|th|ST|ND|RD|TH)|[{_UPPER}][\w'’.-]*){_S}){{1,4}}?{_WAY}"
 _VOIE = rf"(?:{_VOIES}|{_VOIES.upper()}|{_VOIES.title().replace('[É', '[é')})(?![{_LETTER}]){_S}(?:(?:de{_S}la|de|du|des|la|le|les|DE{_S}LA|DE|DU|DES|LA|LE|LES){_S}|(?:de{_S})?[lLdD]['’])?[{_UPPER}][\w'’-]*(?:{_S}[{_UPPER}][\w'’-]*)?"
-_STREET = re.compile(rf"(?=\d)(?<![\w.,/$-])(?P<house>{_HOUSE})[ ]?,?{_S}(?:{_DIRECTION}{_NAMED}|{_VOIE})")
+_STREET = re.compile(rf"(?P<house>{_HOUSE})[ ]?,?{_S}(?:{_DIRECTION}{_NAMED}|{_VOIE})")
 _UNIT = rf"(?:[ ]?,?{_S}(?:Apt|Apartment|Suite|Ste|Unit|app|appt|bureau|bur|unit[ée])\.?{_S}\#?\w+|[ ]?,?{_S}\#[ ]?\w+)"
 _POSTAL = r"\d{5}(?:-\d{4})?|[A-Z]\d[A-Z][ ]?\d[A-Z]\d"
 _CITY = rf"(?:[ ]?,{_S}|\n)[{_UPPER}][{_LETTER}'’-]*(?:[  ][{_UPPER}][{_LETTER}'’-]*)?"
@@ -195,6 +198,8 @@ _LOCAL_LETTERS = frozenset(".+%'-_")
 _WRITTEN_DOT = re.compile(r"([^\W_][\w+%'-]*)(?:[ ]?[(\[{][ ]?(?:dot|point)[ ]?[)\]}][ ]?|[ \n]+(?:dot|point)[ \n]+)$", re.IGNORECASE)
 
 
+_SIGN = re.compile("@")
+_DOT_WORD = re.compile(r"[ \n](?:dot|point)[ \n]")
 _BRACKETED = re.compile(r"[(\[{][ ]?(?:at|arobase|chez|à)[ ]?[)\]}]")
 
 
@@ -220,10 +225,11 @@ def _local_start(text: str, end: int) -> int:
 def emails(text: str) -> list[Candidate]:
     low = text.lower()
     # an address has the sign, brackets around its word, or the words for its dots
-    if "@" not in text and "dot" not in low and "point" not in low and _BRACKETED.search(low) is None:
+    written = ("dot" in low or "point" in low) and _DOT_WORD.search(low) is not None or _BRACKETED.search(low) is not None
+    if not written and "@" not in text:
         return []
     out = []
-    for m in _AT.finditer(text):
+    for m in (_AT if written else _SIGN).finditer(text):
         domain = _DOMAIN.match(text, m.end())
         if domain is None:
             continue
