@@ -506,7 +506,7 @@ def row_predicates(spark, d):
     return load(spark, d, "distribution_event").select("event_id", *flags).distinct()
 
 
-@query("""SELECT run_id, CASE WHEN regexp_matches(payload, '^[ \t\r\n]*[{\[]') THEN 'JSON' WHEN starts_with(payload, '%PDF') THEN 'PDF' WHEN starts_with(payload, 'PK') THEN 'WORKBOOK' WHEN contains(lower(payload), '<html') THEN 'HTML' ELSE 'OTHER' END AS kind FROM multi_tier_6fund_live_validation WHERE payload IS NOT NULL""")
+@query("""SELECT run_id, CASE WHEN regexp_matches(payload, '^[ \t\r\n]*[{\\[]') THEN 'JSON' WHEN starts_with(payload, '%PDF') THEN 'PDF' WHEN starts_with(payload, 'PK') THEN 'WORKBOOK' WHEN contains(lower(payload), '<html') THEN 'HTML' ELSE 'OTHER' END AS kind FROM multi_tier_6fund_live_validation WHERE payload IS NOT NULL""")
 def payload_kinds(spark, d):
     """What a payload is, by its first characters."""
     p = F.col("payload")
