@@ -36,22 +36,27 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def date_of(written: Column) -> Column:
     """The date that one written date stands for; NULL for a day its month doesn't have, another century or no month's word.
 
-    Year first and then month and day, or month, day and year; with a word, the day is the shorter number.
+    Year first and then month and day, or month, day and year; with a word, the day is before or after it and the year last.
     """
-    names = F.array(*(F.lit(m) for m in MONTHS))
     known = F.array(*(F.lit(w) for w in _WRITTEN))
+    months = F.array(*(F.lit(i % 12 + 1 if i < 24 else 9) for i in range(len(_WRITTEN))))
 
-    def text(numbers: Column, word: Column) -> Column:
-        first, second, third = (F.get(numbers, F.lit(i)) for i in range(3))
-        year = F.when(F.length(first) == 4, first).otherwise(F.coalesce(third, second))
-        month = F.when(word != "", F.when(F.array_contains(known, word), F.array_position(names, F.substring(word, 1, 3)).cast("string"))).when(F.length(first) == 4, second).otherwise(first)
-        day = F.when(word != "", first).when(F.length(first) == 4, third).otherwise(second)
-        return F.when(year.startswith("20"), F.concat_ws("-", year, F.coalesce(month, F.lit("0")), day))
+    def day(text: Column, form: str) -> Column:
+        return F.to_date(F.try_to_timestamp(text, F.lit(form)))
+
+    def worded(parts: Column) -> Column:
+        first, second, year = (F.get(parts, F.lit(i)) for i in range(3))
+        ahead = first.rlike(r"^\d")
+        place = F.array_position(known, F.when(ahead, second).otherwise(first)).cast("int")
+        return F.when((place > 0) & year.startswith("20"), day(F.concat_ws("-", year, F.get(months, place - 1).cast("string"), F.when(ahead, first).otherwise(second)), "yyyy-M-d"))
 
     def read(low: Column) -> Column:
-        # an ordinal's letters stand right behind its digits, a month's word doesn't
-        word = F.regexp_extract(low, r"(?<![a-z\d])([a-z]+)", 1)
-        return bound(F.regexp_extract_all(low, F.lit(r"(\d+)"), 1), lambda n: bound(word, lambda w: F.to_date(F.try_to_timestamp(text(n, w), F.lit("yyyy-M-d")))))
+        words = F.split(F.regexp_replace(low, rf"(?<=\d)(?:{'|'.join(_ORDINALS)})|[.,]", ""), r"\s+")
+        return (
+            F.when(low.rlike("[a-z]"), bound(words, worded))
+            .when(low.rlike(r"^20\d\d[-/]"), day(F.translate(low, "/", "-"), "yyyy-M-d"))
+            .when(low.rlike("/20\\d\\d$"), day(low, "M/d/yyyy"))
+        )
 
     return bound(F.lower(written), read)
 

@@ -45,7 +45,8 @@ def html_rows(df: DataFrame, doc_id: str, markup: str) -> DataFrame:
     headed = rows.withColumn("__heads", F.filter("__rows", lambda r: r["head"]))
     first = F.get("__heads", F.lit(0))["row_no"]
     guessed = headed.withColumn("__guess", F.get(F.filter("__rows", lambda r: r["hint"] & (first.isNull() | (r["row_no"] < first))), F.lit(0)))
-    each = guessed.select(doc_id, "table_no", "__heads", "__guess", F.explode("__rows").alias("__r"))
+    # outer, as the planner would add a filter on the array's size to a plain one and work the array out for it once more
+    each = guessed.select(doc_id, "table_no", "__heads", "__guess", F.explode_outer("__rows").alias("__r"))
     above = F.try_element_at(F.filter("__heads", lambda h: h["row_no"] <= F.col("__r.row_no")), F.lit(-1))["cells"]
     guess = F.when(F.col("__guess.row_no") <= F.col("__r.row_no"), F.col("__guess.cells"))
     named = each.select(doc_id, "table_no", F.col("__r.row_no").alias("row_no"), F.transform(F.coalesce(above, guess), lambda c: F.lower(c)).alias("headers"), F.col("__r.cells").alias("cells"), above.isNull().alias("__free"), "__r")
@@ -64,8 +65,8 @@ def text_rows(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     # a document's lines stay one value, so headers are carried on without a shuffle
     lines = df.select(F.col(doc_id), F.filter(F.transform(F.split(text, r"\r?\n"), read), lambda r: F.trim(r["line"]) != "").alias("__lines"))
-    headed = lines.withColumn("__heads", F.filter("__lines", lambda r: (F.size(r["kinds"]) >= 2) & (F.size(r["dates"]) == 0))).filter(F.size("__heads") > 0)
-    each = headed.select(doc_id, "__heads", F.explode("__lines").alias("__r"))
+    headed = lines.withColumn("__heads", F.filter("__lines", lambda r: (F.size(r["kinds"]) >= 2) & (F.size(r["dates"]) == 0)))
+    each = headed.select(doc_id, "__heads", F.explode_outer("__lines").alias("__r"))
     kinds = F.try_element_at(F.filter("__heads", lambda h: h["line_no"] < F.col("__r.line_no")), F.lit(-1))["kinds"]
     rows = each.withColumn("__kinds", kinds).filter((F.size("__r.dates") > 0) & (F.size("__r.dates") == F.size("__kinds")))
     rows = rows.withColumn("__a", F.regexp_extract(F.regexp_replace("__r.line", ANY_DATE, " "), r"(\$?\d*\.\d+|\$\d+)", 1)).filter(F.col("__a") != "")
