@@ -179,10 +179,10 @@ def document_routes(spark, d):
 
 @query("SELECT DISTINCT class_id, nullif(trim(fund_id), '') AS fund_id, nullif(trim(ticker), '') AS ticker, nullif(trim(currency), '') AS currency FROM share_class")
 def csv_roundtrip(spark, d):
-    """A table exported as CSV and read by the reader of labelled rows: cells trimmed, blank ones NULL."""
+    """A table exported as CSV and read by the reader of labelled rows: cells but the key trimmed, blank ones NULL."""
     out = fresh_path(spark, "csv")
     export_csv({"share_class": load(spark, d, "share_class").select("class_id", "fund_id", "ticker", "currency")}, out)
-    return read_labelled(spark, f"{out}/share_class", ["class_id", "fund_id"]).distinct()
+    return read_labelled(spark, f"{out}/share_class", ["class_id", "fund_id"], unchanged=["class_id"], blank_rows=True).distinct()
 
 
 @query("SELECT DISTINCT fund_id, country, fund_name, fund_type, fund_family, cik, FALSE AS is_etf, FALSE AS is_verified FROM fund_master")

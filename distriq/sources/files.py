@@ -6,6 +6,7 @@ import json
 import re
 import uuid
 import zipfile
+from collections.abc import Collection
 from itertools import chain
 from xml.sax.saxutils import escape, quoteattr
 
@@ -43,21 +44,33 @@ def read_registry(spark: SparkSession, path: str, key: str = "sources") -> DataF
     return spark.createDataFrame([tuple(e.get(n) for n in names) for e in entries], kinds)
 
 
-def read_labelled(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV with a header that must have ``columns``; cells trimmed, blank ones NULL, blank rows left out."""
-    rows = spark.read.option("header", True).csv(path)
+#: Values that come back from a file as they were written: blanks around them, quotes, backslashes and line breaks in them.
+_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_labelled(spark: SparkSession, path: str, columns: list[str], unchanged: Collection[str] = (), blank_rows: bool = False) -> DataFrame:
+    """A CSV with a header that must have ``columns``; cells trimmed of spaces of all kinds, blank ones NULL.
+
+    Tabs and line breaks are no spaces. Quotes within quotes are doubled. ``unchanged``: columns read as they are
+    written. Blank rows are left out, unless ``blank_rows``.
+    """
+    # NULL by a name no cell has, so that it isn't the empty text
+    rows = spark.read.options(**_CSV, multiLine=True, nullValue=uuid.uuid4().hex, emptyValue="").csv(path)
     missing = [c for c in columns if c not in rows.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    tidy = rows.select(*(F.nullif(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c) for c in rows.columns))
-    return tidy.na.drop("all")
+    tidy = rows.select(*(F.col(f"`{c}`") if c in unchanged else F.nullif(F.regexp_replace(F.col(f"`{c}`"), r"^\p{Zs}+|\p{Zs}+\z", ""), F.lit("")).alias(c) for c in rows.columns))
+    return tidy if blank_rows else tidy.na.drop("all")
 
 
 def export_csv(tables: dict[str, DataFrame], directory: str) -> None:
-    """Each table as CSV with a header under ``<directory>/<name>``, written by all tasks; nested columns as JSON."""
+    """Each table as CSV with a header under ``<directory>/<name>``, written by all tasks; nested columns as JSON.
+
+    Text is written as it is: with the blanks around it, quotes doubled, the empty text quoted, NULL as nothing.
+    """
     for name, df in tables.items():
         flat = [F.to_json(c).alias(c) if kind.startswith(("array", "map", "struct")) else F.col(f"`{c}`") for c, kind in df.dtypes]
-        df.select(*flat).write.mode("overwrite").option("header", True).csv(f"{directory}/{name}")
+        df.select(*flat).write.mode("overwrite").options(**_CSV).csv(f"{directory}/{name}")
 
 
 #: Characters that XML can't hold.
