@@ -7,7 +7,9 @@ that begin with it are one range in sorted order; cutting two bits off the end d
 
 The forest has four trees: permutations of the entries sorted by signatures shifted by none or half a square of
 :data:`CERTAIN` in either coordinate. An entry's matches are at most one unit away; in one of the trees, the square of
-that level holds all of them, so one range of one tree is enough. Shorter squares hold some of them only.
+that level holds all of them, so one range of one tree is enough. Shorter squares hold some of them only. Entries that
+are denser than the row groups of a run would have it read four times over; they look at up to four squares of the first
+tree instead.
 
 This module is run by Python workers: it reads runs where they lie, and of them only the row groups that a range meets.
 """
@@ -21,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow.fs import FileSelector, FileSystem
 
@@ -87,6 +90,18 @@ def searches(x: np.ndarray, y: np.ndarray, level: int) -> list[tuple[int, np.nda
     return out
 
 
+def searches_in_one(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entries, low, high): the ranges of one tree that hold all cells next to each entry: one to four squares of level CERTAIN."""
+    more = [((c - 1) >> CERTAIN) != ((c + 1) >> CERTAIN) for c in (x, y)]
+    everywhere = np.ones(len(x), bool)
+    parts = []
+    for dx, dy, there in ((-1, -1, everywhere), (1, -1, more[0]), (-1, 1, more[1]), (1, 1, more[0] & more[1])):
+        at = np.flatnonzero(there)
+        parts.append((at, interleaved(x[at] + dx, y[at] + dy) >> (2 * CERTAIN) << (2 * CERTAIN)))
+    at, low = (np.concatenate(c) for c in zip(*parts))
+    return at, low, low | ((1 << (2 * CERTAIN)) - 1)
+
+
 Place = tuple[str, int]
 
 
@@ -118,13 +133,14 @@ class SortedFile:
         for i in range(len(self.high) - 2, -1, -1):
             self.high[i] = min(self.high[i], self.high[i + 1])
 
-    def meeting(self, low: Place, high: Place) -> range:
-        """The places of the row groups that may hold something from ``low`` to ``high``."""
-        first = bisect_left(self.high, low)
-        last = first
-        while last < len(self.low) and self.low[last] <= high:
-            last += 1
-        return range(first, last)
+    def meeting(self, lows: list[Place], highs: list[Place]) -> list[int]:
+        """The row groups that may hold something of any of the ranges, which are sorted."""
+        met = []
+        for low, high, group in zip(self.low, self.high, self.groups):
+            at = bisect_left(highs, low)
+            if at < len(lows) and lows[at] <= high:
+                met.append(group)
+        return met
 
 
 class SortedRun:
@@ -139,7 +155,7 @@ class SortedRun:
 
     def file(self, i: int) -> SortedFile:
         if i not in self.files:
-            self.files[i] = SortedFile(pq.ParquetFile(self.system.open_input_file(self.names[i])))
+            self.files[i] = SortedFile(pq.ParquetFile(self.system.open_input_file(self.names[i]), read_dictionary=["key"]))
         return self.files[i]
 
     def _first(self, low: Place) -> int:
@@ -156,31 +172,60 @@ class SortedRun:
                 end = middle
         return begin
 
-    def read(self, lows: list[Place], highs: list[Place]) -> pd.DataFrame:
-        """All rows of the row groups that any of the ranges meets, in order. Ranges are sorted."""
-        wanted: dict[int, set[int]] = {}
-        at = -1
-        for low, high in zip(lows, highs):
-            if at < 0 or at >= len(self.names) or not self.file(at).high or self.file(at).high[-1] < low:
-                at = self._first(low)
-            i = at
-            while i < len(self.names):
-                file = self.file(i)
-                if file.low and file.low[0] > high:
-                    break
-                met = file.meeting(low, high)
-                wanted.setdefault(i, set()).update(met)
-                if met and met[-1] < len(file.low) - 1:
-                    break
+    def has_fewer_groups(self, than: int, low: Place, high: Place) -> bool:
+        """Whether the files that may hold something from ``low`` to ``high`` have fewer row groups; reads so many footers at most."""
+        groups = 0
+        for i in range(self._first(low), len(self.names)):
+            file = self.file(i)
+            if file.low and file.low[0] > high:
+                break
+            groups += len(file.groups)
+            if groups >= than:
+                return False
+        return True
+
+    def tables(self, lows: list[Place], highs: list[Place]) -> Iterator[pa.Table]:
+        """All rows of the row groups that any of the ranges meets, in order, a table for each file. Ranges are sorted."""
+        at, i = 0, self._first(lows[0]) if lows else len(self.names)
+        while i < len(self.names):
+            file = self.file(i)
+            if not file.low:
                 i += 1
-        parts = []
-        for i in sorted(wanted):
-            if wanted[i]:
-                file = self.file(i)
-                parts.append(file.data.read_row_groups([file.groups[g] for g in sorted(wanted[i])], columns=["key", "code", "id", "day", "amount"]).to_pandas())
-        out = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"key": [], "code": [], "id": [], "day": [], "amount": []})
-        self.rows_read += len(out)
-        return out
+                continue
+            if file.low[0] > highs[-1]:
+                break
+            met = file.meeting(lows[at:], highs[at:])
+            if met:
+                table = file.data.read_row_groups(met, columns=["key", "code", "id", "day", "amount"])
+                self.rows_read += len(table)
+                yield table
+            # the first range that may go on behind this file
+            last = file.high[-1]
+            at = bisect_left(highs, last, at)
+            if at == len(highs):
+                break
+            i = i + 1 if lows[at] <= last else max(i + 1, self._first(lows[at]))
+
+    def read(self, lows: list[Place], highs: list[Place]) -> pd.DataFrame:
+        """The same rows as one frame."""
+        parts = [table.to_pandas().astype({"key": object}) for table in self.tables(lows, highs)]
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"key": [], "code": [], "id": [], "day": [], "amount": []})
+
+    def ranked(self, lows: list[Place], highs: list[Place], ranks: dict[str, int]) -> tuple[np.ndarray, ...] | None:
+        """(place, id, day, amount) of the same rows whose keys have ``ranks``, in order; place: rank and signature as one number."""
+        parts: list[list[np.ndarray]] = []
+        for table in self.tables(lows, highs):
+            rank = np.empty(len(table), np.int64)
+            begin = 0
+            for chunk in table.column("key").chunks:  # one for each row group, with the keys it has
+                own = np.fromiter((ranks.get(k, -1) for k in chunk.dictionary.to_pylist()), np.int64, len(chunk.dictionary))
+                rank[begin : begin + len(chunk)] = own[chunk.indices.to_numpy(zero_copy_only=False)] if len(own) else -1
+                begin += len(chunk)
+            kept = rank >= 0
+            if kept.any():
+                code, *rest = (table.column(c).to_numpy()[kept] for c in ("code", "id", "day", "amount"))
+                parts.append([(rank[kept] << (2 * BITS)) | code, *rest])
+        return tuple(np.concatenate(c) for c in zip(*parts)) if parts else None
 
 
 def near(day: np.ndarray, amount: np.ndarray, other_day: np.ndarray, other_amount: np.ndarray, days: int, rate: float) -> np.ndarray:
@@ -204,28 +249,38 @@ class Forest:
         """(place in ``entries``, stored id) of all pairs within tolerance that share a prefix. ``entries``: key, day, amount, sorted by key."""
         key, day, amount = entries["key"].to_numpy(object), entries["day"].to_numpy(np.int64), entries["amount"].to_numpy(float)
         x, y = cells(day, amount, self.days, self.rate)
-        known = pd.Index(sorted(set(key.tolist())), dtype=object)
-        rank = known.get_indexer(key)
+        known = {k: i for i, k in enumerate(sorted(set(key.tolist())))}
+        rank = np.fromiter((known[k] for k in key.tolist()), np.int64, len(key))
         places, ids = [], []
-        for tree, at, low, high in searches(x, y, level):
+
+        def ranges(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple:
             order = np.lexsort((low, rank[at]))
             at, low, high = at[order], low[order], high[order]
-            lows, highs = list(zip(key[at].tolist(), low.tolist())), list(zip(key[at].tolist(), high.tolist()))
-            for run in self.runs:
-                stored = run[tree].read(lows, highs)
-                if not len(stored):
+            return at, low, high, list(zip(key[at].tolist(), low.tolist())), list(zip(key[at].tolist(), high.tolist()))
+
+        spread = one = None
+        for run in self.runs:
+            # where entries are denser than row groups each tree would be read as a whole: one of them is enough then
+            if level >= CERTAIN and len(entries) and run[0].has_fewer_groups(len(entries), (key[0], -1), (key[-1], 1 << 62)):
+                if one is None:
+                    one = [(0, *ranges(*searches_in_one(x, y)))]
+                wanted = one
+            else:
+                if spread is None:
+                    spread = [(tree, *ranges(*found)) for tree, *found in searches(x, y, level)]
+                wanted = spread
+            for tree, at, low, high, lows, highs in wanted:
+                stored = run[tree].ranked(lows, highs, known)
+                if stored is None:
                     continue
-                place = known.get_indexer(stored["key"].to_numpy(object))
-                stored, place = stored[place >= 0], place[place >= 0]
-                # key and signature as one number, in the order in which the run is sorted
-                code = (place << (2 * BITS)) | stored["code"].to_numpy(np.int64)
+                code, stored_id, stored_day, stored_amount = stored
                 begin = np.searchsorted(code, (rank[at] << (2 * BITS)) | low, "left")
                 count = np.searchsorted(code, (rank[at] << (2 * BITS)) | high, "right") - begin
                 probe = np.repeat(at, count)
                 hit = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
-                good = near(day[probe], amount[probe], stored["day"].to_numpy(np.int64)[hit], stored["amount"].to_numpy(float)[hit], self.days, self.rate)
+                good = near(day[probe], amount[probe], stored_day[hit].astype(np.int64), stored_amount[hit], self.days, self.rate)
                 places.append(probe[good])
-                ids.append(stored["id"].to_numpy(np.int64)[hit[good]])
+                ids.append(stored_id[hit[good]])
         if not places:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         pairs = np.unique(np.stack([np.concatenate(places), np.concatenate(ids)]), axis=1)
@@ -285,6 +340,21 @@ def settled(entries: pd.DataFrame, first: np.ndarray, days: int, rate: float) ->
     return out
 
 
+def valued(rows: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """(values, place): rows equal in key, day and amount as one value with their smallest id, and where each row's is.
+
+    ``rows``: id, key, day, amount, sorted by key.
+    """
+    key, day, amount, ids = rows["key"].to_numpy(object), rows["day"].to_numpy(np.int64), rows["amount"].to_numpy(float), rows["id"].to_numpy(np.int64)
+    number = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])]).astype(np.int64)
+    order = np.lexsort((ids, amount, day, number))
+    same = [c[order] for c in (number, day, amount)]
+    new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in same], axis=0)])
+    place = np.empty(len(rows), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return rows.iloc[order[new]].reset_index(drop=True), place
+
+
 def whole_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The same rows, sorted by key, in frames that hold all rows of each of their keys."""
     held: list[pd.DataFrame] = []

@@ -18,17 +18,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distriq.durable import durable, fresh_path, remove
-from distriq.llm.forest import BITS, ORIGIN, TREES, Forest, settled, shifts, unit_of, whole_keys
+from distriq.llm.forest import BITS, ORIGIN, TREES, Forest, settled, shifts, unit_of, valued, whole_keys
 
 #: So many runs of one level become one of the next.
 FAN_IN = 4
 #: Rows of one key in one batch that a task decides, at most; keys with more are decided by joins.
 KEY_ROWS = 1_000_000
+#: Rows that a task gets: where cores would be idle, not under the first; about the second at most.
+TASK_ROWS = 5_000, 200_000
 #: Rows of a run's row group: what one range search reads at least.
 GROUP_ROWS = 1024
 
@@ -63,6 +67,14 @@ def near(a: tuple[Column, Column], b: tuple[Column, Column], days: int, rate: fl
 _VALUE = "id long, key string, day int, amount double, copies long"
 _DECIDED = f"{_VALUE}, first long"
 _RUN = "key string, code long, id long, day int, amount double, tree int"
+#: The tree under which a batch's run holds its duplicates: ``id`` restates ``code``.
+_DUPLICATES = -1
+_PAIRS = "first_id long, dup_id long"
+
+
+def _in_trees(entries: DataFrame, days: int, rate: float) -> DataFrame:
+    """Each entry once for each tree, with its signature there."""
+    return with_signature(entries.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))), days, rate)
 
 
 class HistoryIndex:
@@ -82,22 +94,50 @@ class HistoryIndex:
         self.spent: list[str] = []
         self.rows_read = spark.sparkContext.accumulator(0)
 
-    def _searched(self, values: DataFrame, whole: bool) -> DataFrame:
-        """``values`` with ``first``, the smallest accepted id they match: in the history and, with ``whole`` keys, in the batch."""
+    def _searched(self, values: DataFrame) -> DataFrame:
+        """``values`` with ``first``, the smallest accepted id in the history that they match."""
         paths, days, rate, recall, read = [path for _, path in self.runs], self.days, self.rate, self.recall, self.rows_read
 
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             forest = Forest(paths, days, rate, recall)
-            for entries in whole_keys(batches) if whole else batches:
+            for entries in batches:
                 first = forest.first(entries)
-                if whole:
-                    first = settled(entries, first, days, rate)
                 yield entries.assign(first=pd.arrays.IntegerArray(first, first < 0))
             read.add(forest.rows_read)
 
-        order = ["key"] if whole else ["key", "day", "amount"]
+        order = ["key", "day", "amount"]
         return values.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(search, _DECIDED)
 
+    def _settled(self, rows: DataFrame, tasks: int) -> DataFrame:
+        """What a run of ``rows`` holds, whole keys to a task: the accepted values in each tree, and the duplicates."""
+        paths, days, rate, recall, read = [path for _, path in self.runs], self.days, self.rate, self.recall, self.rows_read
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forest = Forest(paths, days, rate, recall)
+            names = ["key", "id", "day", "amount", "first"]
+            for entries in whole_keys(b.to_pandas() for b in batches):
+                values, place = valued(entries)
+                first = settled(values, forest.first(values), days, rate)
+                new = values[first < 0]
+                kept = [pa.array(new["key"].to_numpy(object), pa.string()), *(pa.array(new[c].to_numpy(), kind) for c, kind in (("id", pa.int64()), ("day", pa.int32()), ("amount", pa.float64())))]
+                yield pa.RecordBatch.from_arrays([*kept, pa.nulls(len(new), pa.int64())], names)
+                ids = entries["id"].to_numpy("int64")
+                head = np.where(first < 0, values["id"].to_numpy("int64"), first)[place]
+                dup = ids != head
+                n = int(dup.sum())
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.string()), pa.array(ids[dup]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.float64()), pa.array(head[dup])], names)
+            read.add(forest.rows_read)
+
+        # a task's work is the history it meets, so rows' bytes mustn't decide how many tasks there are
+        found = rows.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(search, "key string, id long, day int, amount double, first long")
+        trees = F.when(F.col("first").isNull(), F.array(*(F.lit(t) for t in range(TREES)))).otherwise(F.array(F.lit(_DUPLICATES)))
+        signed = with_signature(found.withColumn("tree", F.explode(trees)), self.days, self.rate)
+        # keys are in order from task to task, so that sorted tasks are sorted trees
+        return signed.withColumn("code", F.coalesce("first", "code")).sortWithinPartitions("tree", "key", "code")
+
+    def _tasks(self, rows: int) -> int:
+        return max(1, rows // TASK_ROWS[1], min(rows // TASK_ROWS[0], self.spark.sparkContext.defaultParallelism))
+
     def _written(self, df: DataFrame, name: str) -> str:
         path = fresh_path(self.spark, name)
         df.write.parquet(path)
@@ -106,8 +146,7 @@ class HistoryIndex:
 
     def _round(self, open_values: DataFrame) -> DataFrame:
         """``open_values`` with ``first`` and ``accepted``: accepted now, or the head they match that is; both missing, still undecided."""
-        wide = with_signature(open_values.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))), self.days, self.rate)
-        signed = wide.withColumn("cell", F.shiftright("code", 4))
+        signed = _in_trees(open_values, self.days, self.rate).withColumn("cell", F.shiftright("code", 4))
         cells = signed.groupBy("cell", "key", "tree").agg(F.min(F.struct("id", "day", "amount")).alias("head"))
         close = near((F.col("day"), F.col("amount")), (F.col("head.day"), F.col("head.amount")), self.days, self.rate)
         # an entry meets one head per tree, so the set of heads has four members at most
@@ -124,7 +163,7 @@ class HistoryIndex:
 
     def _decided_by_joins(self, values: DataFrame) -> list[str]:
         """Paths of decided values of keys with too many of them for one task."""
-        old = self.spark.read.schema(_DECIDED).parquet(self._written(self._searched(values, False), "searched"))
+        old = self.spark.read.schema(_DECIDED).parquet(self._written(self._searched(values), "searched"))
         out = [self._written(old.filter("first IS NOT NULL"), "decided")]
         open_values = old.filter("first IS NULL").drop("first")
         accepted: list[DataFrame] = []
@@ -142,32 +181,31 @@ class HistoryIndex:
         heads, rest = accepted[0], lost[0]
         for a, b in zip(accepted[1:], lost[1:]):
             heads, rest = heads.unionByName(a), rest.unionByName(b)
-        signed = [with_signature(df.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))), self.days, self.rate).withColumn("cell", F.shiftright("code", 4)) for df in (heads, rest.drop("first"))]
+        signed = [_in_trees(df, self.days, self.rate).withColumn("cell", F.shiftright("code", 4)) for df in (heads, rest.drop("first"))]
         heads = signed[0].select("tree", "key", "cell", F.col("id").alias("first"), F.col("day").alias("__d"), F.col("amount").alias("__a"))
         found = signed[1].join(heads, ["cell", "key", "tree"]).filter((F.col("first") < F.col("id")) & near((F.col("day"), F.col("amount")), (F.col("__d"), F.col("__a")), self.days, self.rate))
         out.append(self._written(found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("key", "day", "amount", "copies")), F.min("first").alias("first")), "decided"))
         return out
 
-    def decide(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(rows, values): the usable rows of a batch, and its values with ``first``, the accepted id each restates; NULL, if it is accepted.
-
-        The accepted values become a run of the index. ``values`` is on shared storage until :meth:`close`.
-        """
+    def decide(self, batch: DataFrame) -> DataFrame:
+        """(first_id, dup_id) of a batch's duplicates, on shared storage until :meth:`close`; what it accepts becomes a run of the index."""
         rows = _usable(batch)
-        values = rows.groupBy("key", "day", "amount").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
-        values = values.select("id", "key", "day", "amount", "copies")
-        paths = []
-        if batch.count() > KEY_ROWS:
+        many = []
+        n = batch.count()
+        if n > KEY_ROWS:
             # fewer than rows / KEY_ROWS
             many = [r[0] for r in rows.groupBy("key").count().filter(F.col("count") > KEY_ROWS).select("key").collect()]
-            if many:
-                paths = self._decided_by_joins(values.filter(F.col("key").isin(many)))
-                values = values.filter(~F.col("key").isin(many))
-        paths.append(self._written(self._searched(values, True), "decided"))
-        decided = self.spark.read.schema(_DECIDED).parquet(*paths)
-        accepted = decided.filter("first IS NULL").withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES)))))
-        self._write_run(with_signature(accepted, self.days, self.rate), 0)
-        return rows, decided
+        rest = rows.filter(~F.col("key").isin(many)) if many else rows
+        path = self._write_sorted(self._settled(rest, self._tasks(n)), 0)
+        out = self.spark.read.schema(_RUN).parquet(path).filter(F.col("tree") == _DUPLICATES).select(F.col("code").alias("first_id"), F.col("id").alias("dup_id"))
+        if many:
+            hot = rows.filter(F.col("key").isin(many))
+            values = hot.groupBy("key", "day", "amount").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+            decided = self.spark.read.schema(_DECIDED).parquet(*self._decided_by_joins(values.select("id", "key", "day", "amount", "copies")))
+            out = out.unionByName(self.spark.read.schema(_PAIRS).parquet(self._written(_pairs(hot, decided), "hot")))
+            self._write_run(decided.filter("first IS NULL").select("key", "id", "day", "amount"), 0)
+        self._merge()
+        return out
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Decide a batch and remember what it accepts; returns (first_id, dup_id) of its duplicates.
@@ -176,25 +214,42 @@ class HistoryIndex:
         amount, or whose amount is no finite number, are neither duplicate nor accepted. Other columns are left alone.
         first_id is the smallest accepted id that matches. An empty batch changes nothing.
         """
-        return _pairs(*self.decide(batch))
+        return self.decide(batch)
 
-    def _write_run(self, signed: DataFrame, level: int) -> None:
+    def _write_sorted(self, signed: DataFrame, level: int) -> str:
         path = fresh_path(self.spark, f"run{level}")
-        order = ["tree", "key", "code"]
-        rows = signed.select("key", "code", "id", "day", "amount", "tree").repartitionByRange(*order).sortWithinPartitions(*order)
+        rows = signed.select("key", "code", "id", "day", "amount", "tree")
         rows.write.partitionBy("tree").option("parquet.block.row.count.limit", GROUP_ROWS).parquet(path)
         self.runs.append((level, path))
-        same = [r for r in self.runs if r[0] == level]
-        if len(same) == FAN_IN:
-            merged = reduce(DataFrame.unionByName, (self.spark.read.schema(_RUN).parquet(p) for _, p in same))
-            self.runs = [r for r in self.runs if r not in same]
-            self._write_run(merged, level + 1)
-            for _, p in same:
-                remove(self.spark, p)
+        self.spent.append(path)
+        return path
+
+    def _write_run(self, accepted: DataFrame, level: int) -> None:
+        """Entries as a run. They go to tasks once, not once for each tree; only those of keys that are too large for a task do."""
+        order = ["tree", "key", "code"]
+        n = accepted.count()
+        large = n > KEY_ROWS and not accepted.groupBy("key").count().filter(F.col("count") > KEY_ROWS).isEmpty()
+        spread = _in_trees(accepted, self.days, self.rate).repartitionByRange(*order) if large else _in_trees(accepted.repartitionByRange(self._tasks(n), "key"), self.days, self.rate)
+        self._write_sorted(spread.sortWithinPartitions(*order), level)
+
+    def _merge(self) -> None:
+        """Runs of one level, as soon as they are enough, become one of the next. A tree of them has all their entries."""
+        level = 0
+        while level <= max(at for at, _ in self.runs):
+            same = [r for r in self.runs if r[0] == level]
+            if len(same) >= FAN_IN:
+                entries = (self.spark.read.schema(_RUN).parquet(p).filter("tree = 0").select("key", "id", "day", "amount") for _, p in same)
+                merged = reduce(DataFrame.unionByName, entries)
+                self.runs = [r for r in self.runs if r not in same]
+                self._write_run(merged, level + 1)
+                for _, p in same:  # the duplicates stay
+                    for t in range(TREES):
+                        remove(self.spark, f"{p}/tree={t}")
+            level += 1
 
     def close(self) -> None:
         """Remove everything the index has written."""
-        for path in [*self.spent, *(p for _, p in self.runs)]:
+        for path in self.spent:
             remove(self.spark, path)
         self.spent, self.runs = [], []
 
@@ -233,12 +288,10 @@ def restated(df: DataFrame, batch_column: str, days: int = 1, rate: float = 0.00
     entries = spark.read.schema(f"{kinds}, __batch {entries.schema['__batch'].dataType.simpleString()}").parquet(path)
     numbers = sorted(r[0] for r in entries.select("__batch").distinct().collect())
     if not numbers:
-        return spark.createDataFrame([], "first_id long, dup_id long")
+        return spark.createDataFrame([], _PAIRS)
     index = HistoryIndex(spark, days, rate, recall)
-    for n in numbers:
-        index.decide(entries.filter(F.col("__batch") == n).drop("__batch"))
-    values = spark.read.schema(_DECIDED).parquet(*(p for p in index.spent if "/decided-" in p))
-    out = durable(_pairs(_usable(entries), values), "restated")
+    found = [index.decide(entries.filter(F.col("__batch") == n).drop("__batch")) for n in numbers]
+    out = durable(reduce(DataFrame.unionByName, found), "restated")
     index.close()
     remove(spark, path)
     return out
